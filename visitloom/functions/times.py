@@ -19,12 +19,13 @@ TIME_KEYS = {
 def parse_time(text: Column) -> Column:
     """``yyyy-MM-dd H:mm:ss`` text (padded or not) to a timestamp, null when malformed.
 
-    A cast parses several times faster than a format pattern. The shape test
-    keeps out date-only text, which the cast alone would take; a fraction of a
-    second is cut off.
+    A cast parses several times faster than a format pattern. The shape test (a
+    space and two colons, cheaper than LIKE) keeps out the partial times that
+    the cast alone would take; a fraction of a second is cut off.
     """
+    full = text.contains(F.lit(" ")) & (F.substring_index(text, ":", 2) != text)
     whole_seconds = F.substring_index(text, ".", 1)
-    return F.when(text.like("% %:%:%"), whole_seconds.try_cast(T.TimestampNTZType()))
+    return F.when(full, whole_seconds.try_cast(T.TimestampNTZType()))
 
 
 def as_timestamp(df: DataFrame, column: str) -> Column:

@@ -99,7 +99,11 @@ def task_params_(spark, sf_dir):
 @_query
 def mock_actions(spark, sf_dir):
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    return mock.mock_actions(supplier.select(F.col("s_suppkey").alias("block_id")), MOCK_DATE, SEED)
+    # A block grows to some 120 actions: spread the few ids before that.
+    blocks = supplier.select(F.col("s_suppkey").alias("block_id")).repartition(
+        spark.sparkContext.defaultParallelism
+    )
+    return mock.mock_actions(blocks, MOCK_DATE, SEED)
 
 
 @_query

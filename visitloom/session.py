@@ -13,9 +13,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Wall-clock text is parsed and shown without time zone shifts.
     "spark.sql.session.timeZone": "UTC",
-    # Up to 200 literal session ids reach the parquet reader as exact matches,
-    # so detail reads skip row groups that hold none of them.
-    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
+    # Do not record a Python call site per column expression; only plan building gains.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

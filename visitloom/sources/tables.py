@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitloom.functions.times import as_timestamp
 from visitloom.schemas import PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION
@@ -40,6 +41,17 @@ class Tables:
         )
 
 
+def typed(df: DataFrame, schema: T.StructType) -> list[str | Column]:
+    """The columns of ``schema``, cast only where the stored type differs."""
+    stored = df.schema
+    return [
+        f.name
+        if stored[f.name].dataType == f.dataType
+        else F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in schema
+    ]
+
+
 def scan_actions(
     actions: DataFrame, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
@@ -54,22 +66,19 @@ def scan_actions(
         scanned = scanned.where(F.col("date") >= F.lit(start_date).cast(kind))
     if end_date is not None:
         scanned = scanned.where(F.col("date") <= F.lit(end_date).cast(kind))
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in USER_VISIT_ACTION.fields]
-    return scanned.select(*columns, as_timestamp(actions, "action_time").alias("action_ts"))
+    time = as_timestamp(actions, "action_time").alias("action_ts")
+    return scanned.select(*typed(actions, USER_VISIT_ACTION), time)
 
 
 def scan_users(users: DataFrame) -> DataFrame:
     """The user dimension; unused columns are pruned by the optimizer."""
-    return users.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in USER_INFO.fields))
+    return users.select(*typed(users, USER_INFO))
 
 
 def scan_products(products: DataFrame) -> DataFrame:
     """The product dimension with its ``product_status`` read from the JSON attribute."""
     status = F.get_json_object("extend_info", "$.product_status").try_cast("int")
-    return products.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in PRODUCT_INFO.fields),
-        status.alias("product_status"),
-    )
+    return products.select(*typed(products, PRODUCT_INFO), status.alias("product_status"))
 
 
 def store_actions(actions: DataFrame, path: str, partitions: int) -> None:

@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tests.helpers import action, actions, raw_actions, users
+from visitloom.functions.predicates import any_overlap
+from visitloom.operators import sessions as S
+from visitloom.params import TaskParams
+from visitloom.sources.tables import scan_actions
+
+ALL_USERS = [(1, 20, "a", "x", "male"), (2, None, "b", "y", "female"), (3, 40, "c", "z", "male")]
+
+
+def by_session(df, *columns):
+    return {r["session_id"]: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+def test_rollup_takes_first_and_last_time(spark):
+    df = actions(
+        spark,
+        [
+            action("s", "2024-01-01 5:07:09"),
+            action("s", "2024-01-01 05:07:01"),
+            action("s", "2024-01-01 23:59:59"),
+            action("t", "2024-01-02 0:00:00"),
+        ],
+    )
+    got = by_session(S.session_rollup(df), "visit_length", "step_length")
+    assert got == {"s": (67978, 3), "t": (0, 1)}
+
+
+def test_rollup_ignores_bad_times_and_missing_sessions(spark):
+    df = actions(
+        spark,
+        [action("s", "nonsense"), action("s", "2024-01-01 1:00:00"), action(None), action("n", None)],
+    )
+    got = by_session(S.session_rollup(df), "visit_length", "step_length")
+    assert got == {"s": (0, 2), "n": (None, 1)}
+
+
+def test_lists(spark):
+    df = actions(
+        spark,
+        [
+            action("s", search_keyword="hotpot", click_category_id=10),
+            action("s", search_keyword="fish hotpot", click_category_id=10),
+            action("s", search_keyword="hotpot", click_category_id=9),
+            action("s", search_keyword=""),
+            action("t"),
+            action("k", search_keyword="a,b"),
+        ],
+    )
+    got = by_session(S.session_lists(df), "search_keywords", "click_category_ids")
+    assert got == {"s": ("fish hotpot,hotpot", "9,10,10"), "k": ("a,b", None)}
+
+
+def test_join_drops_unknown_users_and_repeats_duplicates(spark):
+    rolled = S.session_rollup(
+        actions(spark, [action("a", user=1), action("b", user=9), action("c", user=None)])
+    )
+    full = S.session_full_info(rolled, users(spark, *ALL_USERS, ALL_USERS[0]))
+    assert [r["session_id"] for r in full.collect()] == ["a", "a"]
+
+
+def kept(spark, params, rows):
+    selected = S.select_sessions(actions(spark, rows), users(spark, *ALL_USERS), params)
+    return sorted(r["session_id"] for r in selected.collect())
+
+
+ROWS = [
+    action("a", user=1, search_keyword="hotpot", click_category_id=3),
+    action("a", user=1, search_keyword="cake"),
+    action("b", user=2, search_keyword="fish hotpot"),
+    action("c", user=3, click_category_id=33),
+]
+
+
+def test_filters(spark):
+    def one(**values):
+        return kept(spark, TaskParams(**values), ROWS)
+
+    assert one() == ["a", "b", "c"]
+    assert one(start_age=20, end_age=40) == ["a", "c"]
+    assert one(start_age=21, end_age=40) == ["c"]
+    assert one(start_age=21) == ["a", "b", "c"]
+    assert one(professionals=("a", "b")) == ["a", "b"]
+    assert one(cities=("z",)) == ["c"]
+    assert one(sex=("male",)) == ["a", "c"]
+    assert one(sex=()) == []
+    assert one(keywords=("hotpot",)) == ["a"]
+    assert one(keywords=("nothing", "fish hotpot")) == ["b"]
+    assert one(keywords=()) == []
+    assert one(category_ids=("3",)) == ["a"]
+    assert one(category_ids=("x", "33")) == ["c"]
+    assert one(category_ids=("x",)) == []
+    assert one(sex=("male",), category_ids=("3", "33"), cities=("z", "y")) == ["c"]
+
+
+def test_keyword_flag_equals_array_overlap(spark):
+    df = actions(spark, ROWS)
+    wanted = ("cake", "fish hotpot")
+    flagged = S.session_rollup(df, TaskParams(keywords=wanted)).where("keyword_hit")
+    listed = df.groupBy("session_id").agg(F.collect_set("search_keyword").alias("words"))
+    overlapping = listed.where(any_overlap(F.col("words"), wanted))
+    assert sorted(r[0] for r in flagged.select("session_id").collect()) == sorted(
+        r[0] for r in overlapping.select("session_id").collect()
+    )
+
+
+def test_filtered_sessions_carry_no_flags(spark):
+    params = TaskParams(keywords=("hotpot",), category_ids=("3",))
+    selected = S.select_sessions(actions(spark, ROWS), users(spark, *ALL_USERS), params)
+    assert not {"keyword_hit", "category_hit"} & set(selected.columns)
+
+
+def test_empty_input(spark):
+    assert kept(spark, TaskParams(), []) == []
+
+
+def test_scan_is_inclusive_and_open_ended(spark):
+    raw = raw_actions(spark, [action("s", f"2024-01-0{d} 1:00:00") for d in range(1, 6)])
+
+    def days(*bounds):
+        return sorted(r["date"][-1] for r in scan_actions(raw, *bounds).collect())
+
+    assert days("2024-01-02", "2024-01-04") == ["2", "3", "4"]
+    assert days(None, "2024-01-02") == ["1", "2"]
+    assert days("2024-01-04", None) == ["4", "5"]
+    assert len(days()) == 5
+
+
+def test_scan_takes_typed_columns(spark):
+    raw = raw_actions(spark, [action("s", "2024-01-03 1:02:03")]).selectExpr(
+        "* except (date, action_time)",
+        "cast(date as date) as date",
+        "cast(action_time as timestamp_ntz) as action_time",
+    )
+    row = scan_actions(raw, "2024-01-03", "2024-01-03").first()
+    assert row["date"] == "2024-01-03"
+    assert row["action_ts"].isoformat() == "2024-01-03T01:02:03"

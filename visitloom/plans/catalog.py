@@ -339,10 +339,11 @@ def session_category_clicks(spark, sf_dir):
 
 
 def _top_counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
-    activity = _activity(spark, sf_dir, params)
-    top = categories.top_categories(categories.sum_activity(activity))
-    clicks = activity.where("click_count > 0")
-    return topn.top_category_session_counts(top, clicks, categories.TOP_CATEGORIES)
+    top = _top_categories(spark, sf_dir, params)
+    clicks = topn.session_category_clicks(_actions(spark, sf_dir, params))
+    counts = topn.top_category_session_counts(top, clicks, categories.TOP_CATEGORIES)
+    chosen = _selected(spark, sf_dir, params).select("session_id")
+    return counts.join(chosen, "session_id", "left_semi")
 
 
 @_query

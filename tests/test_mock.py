@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from visitloom.schemas import PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION
+from visitloom.sources import mock
+from visitloom.sources.tables import Tables, scan_products
+
+
+def test_actions(spark):
+    df = mock.mock_actions(spark.range(100).toDF("block_id"), "2024-05-06").cache()
+    assert df.schema.simpleString() == USER_VISIT_ACTION.simpleString()
+    total = df.count()
+    assert 9_000 < total < 14_000
+    kinds = df.select(
+        (F.col("search_keyword").isNotNull().cast("int")
+         + F.col("click_product_id").isNotNull().cast("int")
+         + F.col("order_category_ids").isNotNull().cast("int")
+         + F.col("pay_category_ids").isNotNull().cast("int")).alias("kinds")
+    )
+    assert [r[0] for r in kinds.distinct().collect()] == [1]
+    per_session = df.groupBy("session_id").agg(
+        F.count_distinct("click_category_id").alias("categories"),
+        F.count_distinct("user_id").alias("users"),
+        F.max(F.col("click_product_id").isNotNull()).alias("clicked"),
+    )
+    assert per_session.count() <= 1000
+    assert per_session.where("users <> 1 or categories <> cast(clicked as int)").count() == 0
+    assert df.where("click_product_id is not null and click_category_id is null").count() == 0
+    again = mock.mock_actions(spark.range(100).toDF("block_id"), "2024-05-06")
+    assert df.exceptAll(again).count() == 0
+    other = mock.mock_actions(spark.range(100).toDF("block_id"), "2024-05-06", seed=1)
+    assert other.join(df, "session_id", "left_semi").count() == 0
+
+
+def test_length_chances():
+    chances = mock.length_thresholds()
+    assert chances == sorted(chances, reverse=True)
+    assert chances[0] == int(0.99 * mock.SCALE)
+    assert 11 < sum(chances) / mock.SCALE < 13
+
+
+def test_dimensions(spark):
+    users = mock.mock_users(spark.range(50).toDF("user_id"))
+    assert [f.name for f in users.schema] == USER_INFO.fieldNames()
+    assert users.where("age not between 0 and 59 or sex not in ('male', 'female')").count() == 0
+    products = mock.mock_products(spark.range(50).toDF("product_id"))
+    assert [f.name for f in products.schema] == PRODUCT_INFO.fieldNames()
+    statuses = scan_products(products).select("product_status").distinct().collect()
+    assert sorted(r[0] for r in statuses) == [0, 1]
+
+
+def test_views(spark):
+    mock.register_mock_views(spark, "2024-05-06", blocks=2)
+    tables = Tables.from_catalog(spark)
+    assert tables.actions.count() > 0
+    assert tables.users.count() == mock.USERS
+    assert spark.table("product_info").count() == mock.PRODUCTS

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import DataFrameWriter
+
+from visitloom.schemas import TOP10_SESSION
+from visitloom.sinks import FileSink, JdbcSink, TableSink
+
+
+def result(spark, taskid, *names):
+    return spark.createDataFrame([(taskid, 1, n, 2) for n in names], TOP10_SESSION)
+
+
+def test_file_sink_replaces_one_task(spark, tmp_path):
+    sink = FileSink(str(tmp_path))
+    sink.write("top10_session", result(spark, 1, "a", "b"), 1)
+    sink.write("top10_session", result(spark, 2, "c"), 2)
+    sink.write("top10_session", result(spark, 1, "d"), 1)
+    stored = sink.read(spark, "top10_session")
+    assert stored.columns == TOP10_SESSION.fieldNames()
+    assert sorted(tuple(r) for r in stored.collect()) == [(1, 1, "d", 2), (2, 1, "c", 2)]
+    sink.write("top10_session", result(spark, 1), 1)
+    assert [r["taskid"] for r in sink.read(spark, "top10_session").collect()] == [2]
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_file_sink_formats(spark, tmp_path, fmt):
+    sink = FileSink(str(tmp_path), fmt)
+    sink.write("top10_session", result(spark, 3, "a"), 3)
+    assert [tuple(r) for r in sink.read(spark, "top10_session").collect()] == [(3, 1, "a", 2)]
+
+
+def test_table_sink_replaces_one_task(spark):
+    spark.sql("create database if not exists results")
+    sink = TableSink("results")
+    sink.write("top10_session", result(spark, 1, "a", "b"), 1)
+    sink.write("top10_session", result(spark, 2, "c"), 2)
+    sink.write("top10_session", result(spark, 1, "d"), 1)
+    columns = TOP10_SESSION.fieldNames()
+    stored = spark.table("results.top10_session").select(*columns)
+    assert sorted(tuple(r) for r in stored.collect()) == [(1, 1, "d", 2), (2, 1, "c", 2)]
+    sink.write("top10_session", result(spark, 1), 1)
+    assert [r["taskid"] for r in spark.table("results.top10_session").collect()] == [2]
+
+
+def test_jdbc_sink_appends_in_batches(spark, monkeypatch):
+    """Checks the call only: no database is started."""
+    calls = []
+    monkeypatch.setattr(
+        DataFrameWriter,
+        "jdbc",
+        lambda self, url, table, mode=None, properties=None: calls.append(
+            (url, table, mode, properties)
+        ),
+    )
+    sink = JdbcSink("jdbc:x:y", {"user": "u"}, batch_size=50, connections=2)
+    sink.write("top10_session", result(spark, 1, "a"), 1)
+    assert calls == [
+        ("jdbc:x:y", "top10_session", "append",
+         {"user": "u", "batchsize": "50", "numPartitions": "2"})
+    ]

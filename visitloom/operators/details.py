@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.operators.bounded import broadcast_if_bounded
+from visitloom.operators.bounded import BROADCAST_ROWS, own_shuffle
 from visitloom.schemas import SESSION_DETAIL, shape_result
 
 
@@ -15,19 +15,25 @@ def session_detail_filtered(actions: DataFrame, sessions: DataFrame) -> DataFram
     A semi join: the session side is unique, and Spark may split the actions
     of a skewed session over several tasks.
     """
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    return actions.join(own_shuffle(sessions.select("session_id")), "session_id", "left_semi")
+
+
+def _ids(chosen: DataFrame, max_rows: int) -> DataFrame:
+    ids = chosen.select("session_id")
+    return F.broadcast(ids) if max_rows <= BROADCAST_ROWS else own_shuffle(ids)
 
 
 def detail_of_few(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFrame:
-    """Actions of at most ``max_rows`` chosen sessions, each once; no shuffle of the actions."""
-    ids = broadcast_if_bounded(chosen.select("session_id"), max_rows)
-    return actions.join(ids, "session_id", "left_semi")
+    """Actions of at most ``max_rows`` chosen sessions, each once.
+
+    While ``max_rows`` is small the actions are not shuffled.
+    """
+    return actions.join(_ids(chosen, max_rows), "session_id", "left_semi")
 
 
 def detail_of_each(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFrame:
     """Actions per chosen row: a session chosen k times gives its actions k times."""
-    ids = broadcast_if_bounded(chosen.select("session_id"), max_rows)
-    return actions.join(ids, "session_id")
+    return actions.join(_ids(chosen, max_rows), "session_id")
 
 
 def restrict_to_ids(actions: DataFrame, ids: list[str]) -> DataFrame:

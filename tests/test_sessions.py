@@ -54,6 +54,23 @@ def test_lists(spark):
     assert got == {"s": ("fish hotpot,hotpot", "9,10,10"), "k": ("a,b", None)}
 
 
+def test_long_lists_go_on_in_further_rows(spark):
+    clicks = [2] * 5 + [10] * 4 + [11]
+    words = ["a", "b", "b", "c", "d"]
+    df = actions(
+        spark,
+        [action("s", click_category_id=c) for c in clicks]
+        + [action("s", search_keyword=w) for w in words],
+    )
+    parts = S.session_lists(df, part_size=3).orderBy("part").collect()
+    assert [tuple(r) for r in parts] == [
+        ("s", 0, "a,b,c", "2,2,2"),
+        ("s", 1, "d", "2,2,10"),
+        ("s", 2, None, "10,10,10"),
+        ("s", 3, None, "11"),
+    ]
+
+
 def test_join_drops_unknown_users_and_repeats_duplicates(spark):
     rolled = S.session_rollup(
         actions(spark, [action("a", user=1), action("b", user=9), action("c", user=None)])

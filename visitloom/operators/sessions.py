@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitloom.functions.predicates import all_of, between, one_of
 from visitloom.params import TaskParams
 
 NO_FILTER = TaskParams()
+LIST_PART = 100_000
 
 
 def session_rollup(actions: DataFrame, params: TaskParams = NO_FILTER) -> DataFrame:
@@ -45,38 +46,53 @@ def _ids(texts: tuple[str, ...] | None) -> tuple[int, ...] | None:
     return tuple(int(t) for t in texts if t.lstrip("-").isdigit())
 
 
-def session_lists(actions: DataFrame) -> DataFrame:
+def session_lists(actions: DataFrame, part_size: int = LIST_PART) -> DataFrame:
     """Per session: sorted distinct keywords, and sorted clicked categories with repeats.
 
-    Equal (keyword, category) rows are counted first, so the buffers of a
-    session grow with its distinct values and not with its actions; repeats are
-    written out only in the final text. Sessions without any value are absent.
-    Meant for a chosen set of sessions: a text cell is as long as its list.
+    One row per session, unless a list has more than ``part_size`` entries: it
+    then goes on in further rows of that session, numbered by ``part``, so that
+    no cell and no buffer grows with the session. Equal values are counted
+    first; a session's place in its list comes from a running sum over its
+    distinct values, and the parts of one session are built by many tasks.
+    Sessions without any value are absent.
     """
     counted = (
         actions.where(F.col("session_id").isNotNull())
-        .select(
+        .selectExpr(
             "session_id",
-            F.nullif("search_keyword", F.lit("")).alias("search_keyword"),
-            "click_category_id",
+            """stack(2, nullif(search_keyword, ''), cast(null as bigint),
+                        cast(null as string), click_category_id) as (keyword, category)""",
         )
-        .where(F.col("search_keyword").isNotNull() | F.col("click_category_id").isNotNull())
-        .groupBy("session_id", "search_keyword", "click_category_id")
-        .agg(F.count(F.lit(1)).cast("int").alias("n"))
+        .where("keyword is not null or category is not null")
+        .groupBy("session_id", "keyword", "category")
+        .agg(F.expr("if(keyword is null, count(1), 1)").alias("n"))
     )
-    click = F.when(
-        F.col("click_category_id").isNotNull(), F.struct("click_category_id", "n")
+    in_order = (
+        Window.partitionBy("session_id", F.col("keyword").isNull())
+        .orderBy("keyword", "category")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    repeats = F.flatten(
-        F.transform(
-            F.array_sort(F.collect_list(click)),
-            lambda c: F.array_repeat(c["click_category_id"], c["n"]),
-        )
+    placed = counted.withColumn("stop", F.sum("n").over(in_order)).selectExpr(
+        "*",
+        "stop - n as start",
+        f"explode(sequence((stop - n) div {part_size}, (stop - 1) div {part_size})) as part",
+    )
+    pieces = placed.selectExpr(
+        "session_id",
+        "part",
+        "keyword",
+        f"""if(category is null, null, struct(category, cast(
+            least(stop, (part + 1) * {part_size}) - greatest(start, part * {part_size}) as int
+        ) as n)) as click""",
     )
-    keywords = F.array_join(F.array_sort(F.collect_set("search_keyword")), ",")
-    return counted.groupBy("session_id").agg(
-        F.nullif(keywords, F.lit("")).alias("search_keywords"),
-        F.nullif(F.array_join(repeats, ","), F.lit("")).alias("click_category_ids"),
+    return pieces.groupBy("session_id", "part").agg(
+        F.expr("nullif(array_join(array_sort(collect_list(keyword)), ','), '')").alias(
+            "search_keywords"
+        ),
+        F.expr(
+            """nullif(rtrim(',', array_join(transform(array_sort(collect_list(click)),
+                c -> repeat(concat(c.category, ','), c.n)), '')), '')"""
+        ).alias("click_category_ids"),
     )
 
 

@@ -141,7 +141,7 @@ def session_click_categories(spark, sf_dir):
 def session_full_info(spark, sf_dir):
     actions = _actions(spark, sf_dir)
     listed = sessions.session_rollup(actions).join(
-        sessions.session_lists(actions), "session_id", "left"
+        sessions.session_lists(actions).drop("part"), "session_id", "left"
     )
     full = sessions.session_full_info(listed, _users(spark, sf_dir))
     return _with_text_times(full, "start_time", "end_time")
@@ -425,7 +425,7 @@ def elapsed_seconds(spark, sf_dir):
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     actions = _actions(spark, sf_dir)
     listed = sessions.session_rollup(actions).join(
-        sessions.session_lists(actions), "session_id", "left"
+        sessions.session_lists(actions).drop("part"), "session_id", "left"
     )
     packed = text.pack_kv(_with_text_times(listed, "start_time"), PACKED)
     return packed.select("packed")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +42,10 @@ def session_rollup(actions: DataFrame, params: TaskParams = NO_FILTER) -> DataFr
 
 
 def _ids(texts: tuple[str, ...] | None) -> tuple[int, ...] | None:
-    """Category ids as numbers; text that is no number can match no category."""
+    """Category ids as numbers; text that is not how an id is written matches none."""
     if texts is None:
         return None
-    return tuple(int(t) for t in texts if t.lstrip("-").isdigit())
+    return tuple(int(t) for t in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,17}", t))
 
 
 def session_lists(actions: DataFrame, part_size: int = LIST_PART) -> DataFrame:

@@ -98,7 +98,7 @@ def task_params_(spark, sf_dir):
 
 @_query
 def mock_actions(spark, sf_dir):
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    supplier = star.source(spark, sf_dir, "supplier")
     # A block grows to some 120 actions: spread the few ids before that.
     blocks = supplier.select(F.col("s_suppkey").alias("block_id")).repartition(
         spark.sparkContext.defaultParallelism
@@ -108,13 +108,13 @@ def mock_actions(spark, sf_dir):
 
 @_query
 def mock_users(spark, sf_dir):
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = star.source(spark, sf_dir, "customer")
     return mock.mock_users(customer.select(F.col("c_custkey").alias("user_id")), SEED)
 
 
 @_query
 def mock_products(spark, sf_dir):
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = star.source(spark, sf_dir, "part")
     return mock.mock_products(part.select(F.col("p_partkey").alias("product_id")), SEED)
 
 

@@ -15,6 +15,22 @@ SESSION_SPAN_DAYS = (1, 1, 1, 7, 30)  # by user_id % 5
 TIME_DIVISORS = (3600, 600, 60, 1)  # by user_id / 5 % 4; compresses a day's times
 
 
+# Columns read from each table; declared, so that no file is opened to infer them.
+SOURCES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string",
+    "orders": "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "supplier": "s_suppkey bigint",
+}
+
+
+def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(SOURCES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
 def _pick(values: tuple[int | str, ...], index: str) -> str:
     """SQL for the element of a fixed list at a zero-based index."""
     items = ", ".join(repr(v) for v in values)
@@ -29,7 +45,7 @@ def _shaped(df: DataFrame, schema: T.StructType, columns: dict[str, str]) -> Dat
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as actions; times are text with unpadded hours."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+    events = source(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
         "event_type",
@@ -64,8 +80,8 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` with its nation as users; every 17th is missing, so the user join drops some."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 17 <> 0")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    customer = source(spark, sf_dir, "customer").where("c_custkey % 17 <> 0")
+    nation = source(spark, sf_dir, "nation")
     columns = {
         "user_id": "c_custkey",
         "username": "concat('user', c_custkey)",
@@ -86,7 +102,7 @@ def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product_name": "p_name",
         "extend_info": """concat('{"product_status": ', p_partkey % 2, '}')""",
     }
-    return _shaped(spark.read.parquet(f"{sf_dir}/part.parquet"), PRODUCT_INFO, columns)
+    return _shaped(source(spark, sf_dir, "part"), PRODUCT_INFO, columns)
 
 
 def task(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +139,7 @@ def task(spark: SparkSession, sf_dir: str) -> DataFrame:
         "task_status": "o_orderstatus",
         "task_param": f"concat('{{', concat_ws(',', {fields}), '}}')",
     }
-    return _shaped(spark.read.parquet(f"{sf_dir}/orders.parquet"), TASK, columns)
+    return _shaped(source(spark, sf_dir, "orders"), TASK, columns)
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:

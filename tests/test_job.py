@@ -63,6 +63,19 @@ def test_job_reads_its_parameters_from_the_task(spark, tmp_path):
     assert sorted(times) == ["2024-01-02 1:00:00"] * 2 + ["2024-01-02 1:00:02"] * 2
 
 
+def test_repeated_user_rows_repeat_their_sessions(spark, tmp_path):
+    tables = Tables(
+        raw_actions(spark, [action("s", click_category_id=5), action("s")]),
+        users(spark, (1, 20, "a", "x", "male"), (1, 30, "a", "x", "male")),
+    )
+    sink = FileSink(str(tmp_path))
+    job.run(spark, tables, 3, sink, TaskParams())
+    assert sink.read(spark, "session_aggr_stat").first()["session_count"] == 2
+    extract = [(3, "s", "2024-01-01 05:00:00", None, "5")] * 2
+    assert rows(sink.read(spark, "session_random_extract")) == extract
+    assert rows(sink.read(spark, "top10_category")) == [(3, 5, 1, 0, 0)]
+
+
 def test_job_without_any_session(spark, tmp_path):
     sink = FileSink(str(tmp_path))
     empty = Tables(raw_actions(spark, []), users(spark, (1, 20, "a", "x", "male")))

@@ -55,21 +55,50 @@ def test_lists(spark):
     assert got == {"s": ("fish hotpot,hotpot", "9,10,10"), "k": ("a,b", None)}
 
 
-def test_long_lists_go_on_in_further_rows(spark):
-    clicks = [2] * 5 + [10] * 4 + [11]
-    words = ["a", "b", "b", "c", "d"]
+def test_long_lists_are_spread_over_rows(spark):
+    clicks = [2] * 500 + [10] * 40 + [11]
+    words = [f"w{n}" for n in range(300)]
     df = actions(
         spark,
-        [action("s", click_category_id=c) for c in clicks]
-        + [action("s", search_keyword=w) for w in words],
+        [action("s", click_category_id=c, search_keyword="w0") for c in clicks]
+        + [action("s", search_keyword=w) for w in words]
+        + [action("short", click_category_id=c) for c in [5] * 90 + [6]],
     )
-    parts = S.session_lists(df, part_size=3).orderBy("part").collect()
-    assert [tuple(r) for r in parts] == [
-        ("s", 0, "a,b,c", "2,2,2"),
-        ("s", 1, "d", "2,2,10"),
-        ("s", 2, None, "10,10,10"),
-        ("s", 3, None, "11"),
-    ]
+    parts = S.session_lists(df, part_size=100).collect()
+    (short,) = (r for r in parts if r["session_id"] == "short")
+    assert (short["part"], short["click_category_ids"]) == (0, ",".join(["5"] * 90 + ["6"]))
+    long = [r for r in parts if r["session_id"] == "s"]
+    assert 8 < len(long) <= 17
+    kept_words, kept_clicks = [], []
+    for row in long:
+        own_words = (row["search_keywords"] or "").split(",") if row["search_keywords"] else []
+        own_clicks = [int(c) for c in (row["click_category_ids"] or "").split(",") if c]
+        assert own_words == sorted(own_words) and own_clicks == sorted(own_clicks)
+        assert len(own_words) + len(own_clicks) <= 150
+        kept_words += own_words
+        kept_clicks += own_clicks
+    assert sorted(kept_words) == sorted(words)
+    assert sorted(kept_clicks) == clicks
+
+
+def test_lists_of_few_equal_the_lists_of_all(spark):
+    df = actions(
+        spark,
+        [action(f"s{n % 7}", click_category_id=n % 5, search_keyword=f"w{n % 3}") for n in range(99)]
+        + [action("none")],
+    )
+    columns = ("session_id", "search_keywords", "click_category_ids")
+    rolled = S.session_rollup(df).select("session_id", "step_length")
+    chosen = rolled.where("session_id in ('s1', 's2', 'none')")
+    wanted = S.session_lists(df).where("session_id in ('s1', 's2')").select(*columns).collect()
+    for max_rows in (3, 100_000):
+        few = S.lists_of_few(df, chosen, max_rows).select(*columns)
+        got = sorted(map(tuple, few.collect()))
+        assert got == sorted([*map(tuple, wanted), ("none", None, None)])
+    parts = S.lists_of_few(df, chosen, 3, part_size=10)
+    assert parts.count() > 3
+    clicks = [c for r in parts.collect() for c in (r["click_category_ids"] or "").split(",") if c]
+    assert len(clicks) == sum(r["step_length"] for r in chosen.collect()) - 1
 
 
 def test_join_drops_unknown_users_and_repeats_duplicates(spark):

@@ -18,15 +18,14 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
 
 
-def own_shuffle(keys: DataFrame) -> DataFrame:
-    """Text keys for a shuffled join in which the other side may be skewed.
+def own_shuffle(df: DataFrame, key: str = "session_id") -> DataFrame:
+    """Hide that ``df`` is already partitioned by a text key, so that what follows shuffles it.
 
     Spark splits a skewed join partition only when both sides come straight
-    from a shuffle. Keys that an aggregate left partitioned would be joined in
-    place, so the expression hides that; they are few bytes beside the other
-    side.
+    from a shuffle, and only when nothing after the join relies on its
+    partitioning.
     """
-    return keys.select(*(F.concat(name, F.lit("")).alias(name) for name in keys.columns))
+    return df.withColumn(key, F.concat(key, F.lit("")))
 
 
 def first_n_per_group(

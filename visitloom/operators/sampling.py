@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitloom.operators.bounded import broadcast_if_bounded, first_n_per_group
+from visitloom.operators.sessions import lists_of_few
 from visitloom.schemas import SESSION_RANDOM_EXTRACT, shape_result
 
 EXTRACT_TOTAL = 100
@@ -64,9 +65,10 @@ def draw_sessions(
 ) -> DataFrame:
     """Draw each hour's quota of sessions without replacement, in the order of a seeded hash.
 
-    At most ``extract_total`` rows come out, and the hours with a quota are at
-    most as many. No hour is gathered in one task: every task cuts its own
-    sessions to ``extract_total`` per hour before the shuffle.
+    At most ``extract_total`` rows come out, each with its ``place`` within its
+    hour, and the hours with a quota are at most as many. No hour is gathered in
+    one task: every task cuts its own sessions to ``extract_total`` per hour
+    before the shuffle.
     """
     quotas = (
         extract_quota_per_hour(sessions, extract_total)
@@ -83,12 +85,19 @@ def draw_sessions(
         order=[F.col("_draw"), F.col("session_id")],
         n=extract_total,
         salt_on="session_id",
-        rank="_place",
+        rank="place",
     )
-    return drawn.where(F.col("_place") <= F.col("quota")).select(*sessions.columns)
+    return drawn.where(F.col("place") <= F.col("quota")).select(*sessions.columns, "place")
 
 
-def session_random_extract(drawn: DataFrame, lists: DataFrame, taskid: int) -> DataFrame:
-    """The drawn sessions with their keyword and category lists (null where empty)."""
-    rows = drawn.select("session_id", "start_time").join(lists, "session_id", "left")
+def session_random_extract(
+    actions: DataFrame, drawn: DataFrame, taskid: int, extract_total: int = EXTRACT_TOTAL
+) -> DataFrame:
+    """The drawn sessions with their keyword and category lists (null where empty).
+
+    A session that a repeated user row made twice, and that was drawn twice,
+    comes out twice: its places differ.
+    """
+    chosen = drawn.select("session_id", "place", "start_time", "step_length")
+    rows = lists_of_few(actions, chosen, extract_total)
     return shape_result(rows, SESSION_RANDOM_EXTRACT, taskid, sessionid="session_id")

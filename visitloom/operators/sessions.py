@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitloom.functions.predicates import all_of, between, one_of
+from visitloom.operators.bounded import BROADCAST_ROWS, own_shuffle
 from visitloom.params import TaskParams
 
 NO_FILTER = TaskParams()
@@ -48,56 +49,89 @@ def _ids(texts: tuple[str, ...] | None) -> tuple[int, ...] | None:
     return tuple(int(t) for t in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,17}", t))
 
 
-def session_lists(actions: DataFrame, part_size: int = LIST_PART) -> DataFrame:
-    """Per session: sorted distinct keywords, and sorted clicked categories with repeats.
+def _list_entries(actions: DataFrame, keys: list[str], with_empty: bool = False) -> DataFrame:
+    """Distinct keywords (``n`` = 1) and clicked categories (``n`` = clicks) per session.
 
-    One row per session, unless a list has more than ``part_size`` entries: it
-    then goes on in further rows of that session, numbered by ``part``, so that
-    no cell and no buffer grows with the session. Equal values are counted
-    first; a session's place in its list comes from a running sum over its
-    distinct values, and the parts of one session are built by many tasks.
-    Sessions without any value are absent.
+    ``with_empty`` adds one entry that is neither, so that every session is there.
     """
-    counted = (
-        actions.where(F.col("session_id").isNotNull())
-        .selectExpr(
-            "session_id",
-            """stack(2, nullif(search_keyword, ''), cast(null as bigint),
-                        cast(null as string), click_category_id) as (keyword, category)""",
-        )
-        .where("keyword is not null or category is not null")
-        .groupBy("session_id", "keyword", "category")
-        .agg(F.expr("if(keyword is null, count(1), 1)").alias("n"))
-    )
-    in_order = (
-        Window.partitionBy("session_id", F.col("keyword").isNull())
-        .orderBy("keyword", "category")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = counted.withColumn("stop", F.sum("n").over(in_order)).selectExpr(
-        "*",
-        "stop - n as start",
-        f"explode(sequence((stop - n) div {part_size}, (stop - 1) div {part_size})) as part",
+    entries = actions.where(F.col("session_id").isNotNull()).selectExpr(
+        *keys,
+        """stack(3, nullif(search_keyword, ''), cast(null as bigint),
+                    cast(null as string), click_category_id,
+                    cast(null as string), cast(null as bigint)) as (keyword, category)""",
     )
-    pieces = placed.selectExpr(
-        "session_id",
-        "part",
+    if not with_empty:
+        entries = entries.where("keyword is not null or category is not null")
+    counts = F.expr("if(category is null, 1, count(1))").alias("n")
+    return entries.groupBy(*keys, "keyword", "category").agg(counts)
+
+
+def _list_texts(entries: DataFrame, keys: list[str], part_size: int) -> DataFrame:
+    """Write the lists; sessions with a ``total`` above ``part_size`` are spread over rows."""
+    piece_size = max(1, part_size // 10)
+    pieces = entries.selectExpr(
+        "*", f"explode(sequence(0, (n - 1) div {piece_size})) as piece"
+    ).selectExpr(
+        *keys,
+        f"""if(total > {part_size} and (keyword is not null or category is not null),
+            pmod(xxhash64(keyword, category, piece), 2 * total div {part_size} + 1), 0) as part""",
         "keyword",
-        f"""if(category is null, null, struct(category, cast(
-            least(stop, (part + 1) * {part_size}) - greatest(start, part * {part_size}) as int
-        ) as n)) as click""",
+        f"""if(category is null, null, struct(category,
+            cast(least({piece_size}, n - piece * {piece_size}) as int) as n)) as click""",
     )
-    return pieces.groupBy("session_id", "part").agg(
-        F.expr("nullif(array_join(array_sort(collect_list(keyword)), ','), '')").alias(
-            "search_keywords"
-        ),
-        F.expr(
-            """nullif(rtrim(',', array_join(transform(array_sort(collect_list(click)),
-                c -> repeat(concat(c.category, ','), c.n)), '')), '')"""
-        ).alias("click_category_ids"),
+    return (
+        own_shuffle(pieces)
+        .groupBy(*keys, "part")
+        .agg(
+            F.expr("nullif(array_join(array_sort(collect_list(keyword)), ','), '')").alias(
+                "search_keywords"
+            ),
+            F.expr(
+                """nullif(rtrim(',', array_join(transform(array_sort(collect_list(click)),
+                    c -> repeat(concat(c.category, ','), c.n)), '')), '')"""
+            ).alias("click_category_ids"),
+        )
     )
 
 
+def session_lists(actions: DataFrame, part_size: int = LIST_PART) -> DataFrame:
+    """Per session: sorted distinct keywords, and sorted clicked categories with repeats.
+
+    One row per session, unless its lists have more than ``part_size`` entries
+    together. Then its entries are spread by hash over several rows, numbered by
+    ``part`` and each sorted by itself, of about half that size. So no cell and
+    no buffer grows with the session, and many tasks build the rows of one
+    session. Equal values are counted first; repeats are written out only in
+    the text. Sessions without any value are absent.
+    """
+    entries = _list_entries(actions, ["session_id"])
+    long = (
+        entries.groupBy("session_id")
+        .agg(F.sum("n").alias("total"))
+        .where(F.col("total") > part_size)
+    )
+    sized = entries.join(own_shuffle(long), "session_id", "left")
+    return _list_texts(sized, ["session_id"], part_size)
+
+
+def lists_of_few(
+    actions: DataFrame, chosen: DataFrame, max_rows: int, part_size: int = LIST_PART
+) -> DataFrame:
+    """The lists of at most ``max_rows`` chosen sessions, beside the columns of ``chosen``.
+
+    ``chosen`` holds distinct rows with their ``step_length``, which bounds the
+    lists, so no totals are counted. While ``max_rows`` is small only the
+    counted entries are shuffled. Lists are null for sessions without a value.
+    """
+    total = (2 * F.col("step_length")).alias("total")
+    kept = [name for name in chosen.columns if name != "step_length"]
+    sized = chosen.select(*kept, total)
+    sized = F.broadcast(sized) if max_rows <= BROADCAST_ROWS else own_shuffle(sized)
+    narrow = actions.select("session_id", "search_keyword", "click_category_id")
+    entries = _list_entries(narrow.join(sized, "session_id"), [*kept, "total"], with_empty=True)
+    return _list_texts(entries, kept, part_size)
+
+
 def session_keywords(actions: DataFrame) -> DataFrame:
     """Distinct search keywords of each session that searched."""
     lists = session_lists(actions.withColumn("click_category_id", F.lit(None).cast("bigint")))

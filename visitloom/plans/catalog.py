@@ -230,9 +230,7 @@ def _drawn(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
 
 def _random_extract(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
     drawn = _drawn(spark, sf_dir, params)
-    actions = _actions(spark, sf_dir, params)
-    own = details.detail_of_few(actions, drawn, sampling.EXTRACT_TOTAL)
-    return sampling.session_random_extract(drawn, sessions.session_lists(own), TASKID)
+    return sampling.session_random_extract(_actions(spark, sf_dir, params), drawn, TASKID)
 
 
 @_query

@@ -97,19 +97,14 @@ def run(
     )
     sink.write("top10_session", topn.top10_session(busiest, taskid), taskid)
 
-    drawn_ids = drawn.select("session_id").distinct()
-    drawn_actions = details.detail_of_few(
-        _near(actions, drawn_ids, settings.extract_total), drawn_ids, settings.extract_total
-    )
-    sink.write(
-        "session_random_extract",
-        sampling.session_random_extract(drawn, sessions.session_lists(drawn_actions), taskid),
-        taskid,
+    extract = sampling.session_random_extract(
+        _near(actions, drawn, settings.extract_total), drawn, taskid, settings.extract_total
     )
+    sink.write("session_random_extract", extract, taskid)
 
     # Both producers of session details in one read and one write: a session
     # comes out once if it was drawn, and once more per top list it is in.
-    chosen = drawn_ids.union(busiest.select("session_id"))
+    chosen = drawn.select("session_id").distinct().union(busiest.select("session_id"))
     chosen_rows = settings.extract_total + settings.top_categories * settings.top_sessions
     detail = details.detail_of_each(_near(actions, chosen, chosen_rows), chosen, chosen_rows)
     sink.write("session_detail", details.shape_detail(detail, taskid), taskid)
@@ -122,5 +117,5 @@ def _near(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFrame:
     """
     if max_rows > LITERAL_IDS:
         return actions
-    ids = [row["session_id"] for row in chosen.distinct().collect()]
+    ids = [row["session_id"] for row in chosen.select("session_id").distinct().collect()]
     return details.restrict_to_ids(actions, ids)

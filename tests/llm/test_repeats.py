@@ -1,0 +1,84 @@
+"""Repeated passages against brute force."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from visitloom.llm import repeats
+
+SCHEMA = "doc_id long, text string"
+
+
+def brute(rows, length=50):
+    """Every row with what is removed from it, from all strings of all rows."""
+    least: dict[bytes, int] = {}
+    big = 1 << 63
+    raws = [(big if d is None else d, (t or "").encode()) for d, t in rows]
+    for d, raw in raws:
+        for i in range(len(raw) - length + 1):
+            s = raw[i : i + length]
+            least[s] = min(least.get(s, big + 1), d)
+    out = []
+    for (doc_id, _), (d, raw) in zip(rows, raws):
+        gone = np.zeros(len(raw) + 1, bool)
+        for i in range(len(raw) - length + 1):
+            if least[raw[i : i + length]] < d:
+                gone[i : i + length] = True
+        gone[-1] = False
+        spans = int((np.diff(np.r_[False, gone].astype(int)) == 1).sum())
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        out.append((doc_id, len(raw), int(gone.sum()), spans, kept))
+    return sorted(out, key=str)
+
+
+def got(spark, rows, length=50):
+    left = repeats.remove_repeats(spark.createDataFrame(rows, SCHEMA), length)
+    return sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in left.collect()), key=str)
+
+
+def passages(seed, documents=40):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    parts = [" ".join(rng.choice(words) for _ in range(rng.randint(8, 40))) for _ in range(8)]
+    rows = []
+    for i in range(documents):
+        own = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(3)]
+        rows.append((rng.randint(0, 30), " ".join(rng.sample(own + rng.sample(parts, 2), 4))))
+    return rows + rows[:3]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_against_brute_force(spark, seed):
+    rows = passages(seed)
+    assert got(spark, rows) == brute(rows)
+
+
+def test_other_lengths(spark):
+    rows = passages(7, 20)
+    assert got(spark, rows, 33) == brute(rows, 33)
+
+
+def test_odd_rows(spark):
+    line = "one line that is longer than fifty bytes, in every text of this table. "
+    rows = [
+        (1, None), (None, "x" + line), (None, "y" + line), (2, ""), (3, line), (3, line), (3, "other " + line),
+        (5, line), (6, "a" * 300), (7, "b" + "a" * 120 + "c"), (8, "short"), (9, "short"), (4, line[:49]),
+        (10, line[:50] + "!" + line[20:]), (11, "é" * 100), (12, "aé" + "é" * 60),
+    ]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_no_rows_and_other_columns(spark):
+    assert got(spark, []) == []
+    rows = spark.createDataFrame([(1, "t", "u", 3)], "doc_id long, text string, unit string, id long")
+    assert [tuple(r) for r in repeats.remove_repeats(rows).collect()] == [(1, 1, 0, 0, b"t")]
+
+
+def test_earlier_factors_by_hand():
+    data = np.frombuffer(b"abcdefghijklmnopqrst_abcdefghijklmnopqrsX", np.uint8)
+    starts = np.array([0, 1, 21, 22, 2], np.int64)
+    order = np.array([5, 5, 7, 7, 5], np.int64)
+    assert repeats.earlier_factors(data, starts, order, 18).tolist() == [False, False, True, True, False]

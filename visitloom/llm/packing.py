@@ -100,7 +100,9 @@ class Packer:
         """Fills the fullest windows from the emptiest; the pieces of the last open one."""
         while len(self.open) > 1:
             self.open.sort(key=lambda w: w[0])
-            for doc_id, start, ids, total in self.open.pop(0)[1]:
+            pieces = self.open.pop(0)[1]
+            self.windows = len(self.open)
+            for doc_id, start, ids, total in pieces:
                 self.add(doc_id, start, ids, total)
         return self.open[0][1] if self.open else []
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitloom.llm import chat, fingerprint, langid, near_dup, packing, repeats, token_counts, url_rules
+from visitloom.llm import chat, decontam, fingerprint, html_text, langid, near_dup, packing, repeats, token_counts, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -117,3 +117,14 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract_main_text(pages, html_text.fit_on_table(pages))
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

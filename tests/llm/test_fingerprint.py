@@ -1,0 +1,77 @@
+"""Fingerprints against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from statistics import mean
+
+from visitloom.llm import fingerprint
+
+SCHEMA = "doc_id long, text string"
+
+
+def edits(rows):
+    """By row in descending order of id, the edited text."""
+    rows = [(d, t or "") for d, t in rows]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
+    out = []
+    for n, (d, t) in enumerate(rows):
+        following = rows[(n + 1) % len(rows)][1]
+        k = len(t) // 3
+        out.append((d, len(t), hashlib.sha256((t[: len(t) - k] + following[:k]).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(spark, rows):
+    return fingerprint.fingerprint_edits(spark.createDataFrame(rows, SCHEMA)).collect()
+
+
+def texts(n, seed=1):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefé漢") for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    return [(rng.randrange(10**9), " ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 5, 80, 400])))) for _ in range(n)]
+
+
+def test_edited_texts(spark):
+    rows = texts(150) + [(-5, None), (7, "  \n ")]
+    found = got(spark, rows)
+    assert sorted(((r[0], r[1], r[2]) for r in found), key=str) == edits(rows)
+
+
+def test_few_documents(spark):
+    for rows in ([(1, "only one text of this table")], [(1, "a b c"), (None, "null id")], [(2, "same"), (2, "same"), (2, "other")]):
+        found = got(spark, rows)
+        assert sorted(((r[0], r[1], r[2]) for r in found), key=str) == edits(rows)
+    assert got(spark, []) == []
+
+
+def test_likeness_follows_edits(spark):
+    found = [r for r in got(spark, texts(200, 2)) if r["n_chars"] > 500]
+    assert all(0 <= r[k] <= 1 for r in found for k in ("near_edited", "near_next"))
+    assert mean(r["near_edited"] for r in found) > 0.2 > 0.05 > mean(r["near_next"] for r in found)
+
+
+def test_equal_texts_and_order(spark):
+    words = [f"w{i}" for i in range(200)]
+    moved = words[100:] + words[:100]
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join(moved)), (4, ""), (5, None)]
+    prints = {r["doc_id"]: r["fingerprint"] for r in got(spark, rows)}
+    assert prints[1] == prints[2] != prints[3] and prints[4] == prints[5] == ""
+    # The same k-mers in another order are less alike than their sets are.
+    alike = set(prints[1].split()) & set(prints[3].split())
+    assert len(alike) < 0.75 * len(prints[1].split())
+
+
+def test_repeated_kmers_are_numbered(spark):
+    rows = [(1, "x y z " * 50), (2, "x y z " * 100)]
+    prints = {r["doc_id"]: set(r["fingerprint"].split()) for r in got(spark, rows)}
+    assert 0 < len(prints[1] & prints[2]) < len(prints[2])
+
+
+def test_other_columns_and_native_plan(spark):
+    docs = spark.createDataFrame([(1, "t u", "x", 2)], SCHEMA + ", turn string, at int")
+    told = fingerprint.fingerprint_edits(docs)
+    assert told.count() == 1
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

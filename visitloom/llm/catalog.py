@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitloom.llm import chat, decontam, fingerprint, html_text, langid, near_dup, packing, repeats, token_counts, url_rules
+from visitloom.llm.common import small_arrow_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -36,8 +37,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Texts are long: with fewer rows an Arrow batch stays within some megabytes.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    small_arrow_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

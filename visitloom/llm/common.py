@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BASE = 0x9E3779B97F4A7C15
@@ -29,22 +29,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: with so few rows an Arrow batch stays within some megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def id_and_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the two columns, a null text as the empty one."""
     return df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``function`` on Arrow batches of at most about 4 MB of text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in small_batches(batch):
-                yield function(part)
-
-    return df.mapInArrow(run, schema)
-
-
 def small_batches(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch cut into runs of rows of about ``limit`` bytes; a longer row is a run alone."""
     if batch.num_rows == 0:

@@ -142,6 +142,17 @@ def language_shares(model: LanguageModel, grams: np.ndarray, owner: np.ndarray,
     return np.clip((shares - model.false_share) / (1 - model.false_share), 0, 1)
 
 
+def predict(model: LanguageModel, texts: list[str], is_letter: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    grams, owner, has_letter = text_grams(texts, is_letter)
+    if not model.languages:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    shares = language_shares(model, grams, owner, len(texts))
+    best = shares.argmax(axis=1)
+    names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, has_letter)]
+    return names, np.where(has_letter, shares[np.arange(len(texts)), best], 0.0)
+
+
 def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """The language of every whole text: doc_id, lang_pred, score (0 to 1).
 
@@ -151,24 +162,34 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     ``und`` and 0. A null id stays; repeated rows are judged each; other columns are dropped.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
-    sent = documents.sparkSession.sparkContext.broadcast((model.languages, model.slices, model.false_share))
+    sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_letter, own = letters(), LanguageModel(*sent.value)
+        is_letter = letters()
         for batch in batches:
             for part in small_batches(batch, 1 << 20):
-                texts = part.column(1).to_pylist()
-                grams, owner, has_letter = text_grams(texts, is_letter)
-                if own.languages:
-                    shares = language_shares(own, grams, owner, len(texts))
-                    best = shares.argmax(axis=1)
-                    score = np.where(has_letter, shares[np.arange(len(texts)), best], 0.0)
-                    names = [own.languages[b] if ok else UNKNOWN for b, ok in zip(best, has_letter)]
-                else:
-                    score, names = np.zeros(len(texts)), [UNKNOWN] * len(texts)
+                names, score = predict(sent.value, part.column(1).to_pylist(), is_letter)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"]
                 )
 
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def identified(documents: DataFrame, model: LanguageModel, least: float = 0.3) -> DataFrame:
+    """The documents, with all their columns, whose language is known with at least this score."""
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_letter = letters()
+        for batch in batches:
+            for part in small_batches(batch, 1 << 20):
+                texts = part.column(part.num_columns - 1).to_pylist()
+                names, score = predict(sent.value, texts, is_letter)
+                keep = [n != UNKNOWN and s >= least for n, s in zip(names, score)]
+                left = part.filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(left.columns[:-1], documents.columns)
+
+    judged = documents.select("*", F.coalesce("text", F.lit("")).alias("judged_text"))
+    return judged.mapInArrow(run, documents.schema)

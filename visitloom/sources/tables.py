@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from visitloom.functions.times import as_timestamp
-from visitloom.schemas import PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION
+from visitloom.schemas import PRODUCT_INFO, TASK, USER_INFO, USER_VISIT_ACTION
 
 
 @dataclass(frozen=True)
@@ -22,13 +23,24 @@ class Tables:
 
     @classmethod
     def from_paths(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Tables:
-        """Tables stored under ``root``; the schemas are declared, never inferred."""
+        """Tables stored under ``root``; the schemas are declared, never inferred.
+
+        Without a stored ``task`` there are no tasks.
+        """
 
         def read(name: str, schema: object) -> DataFrame:
             return spark.read.format(fmt).schema(schema).load(f"{root}/{name}")
 
+        try:
+            tasks = read("task", TASK)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            tasks = None
         return cls(
-            actions=read("user_visit_action", USER_VISIT_ACTION), users=read("user_info", USER_INFO)
+            actions=read("user_visit_action", USER_VISIT_ACTION),
+            users=read("user_info", USER_INFO),
+            tasks=tasks,
         )
 
     @classmethod
@@ -38,6 +50,7 @@ class Tables:
         return cls(
             actions=spark.table(f"{prefix}user_visit_action"),
             users=spark.table(f"{prefix}user_info"),
+            tasks=spark.table(f"{prefix}task") if spark.catalog.tableExists(f"{prefix}task") else None,
         )
 
 
@@ -86,13 +99,15 @@ def store_actions(actions: DataFrame, path: str, partitions: int) -> None:
 
     Scans then prune by date, a map task sees most actions of its sessions (so
     the roll-up shrinks before its shuffle), and detail reads skip row groups.
-    Range partitioning by time as the last key splits a hot date or session.
+    Range partitioning by time as the last key splits a hot date or session. The dates in
+    ``actions`` replace what is stored of them; other dates stay.
     """
     keys = ["date", "session_id", "action_time"]
     (
         actions.repartitionByRange(partitions, *keys)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .parquet(path)
     )

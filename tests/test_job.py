@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from tests.helpers import action, raw_actions, users
@@ -96,6 +98,55 @@ def test_stages_use_the_session_folder_first(spark):
     assert job.Stages(spark, "/elsewhere").root.startswith(folder)
 
 
+def test_stages_go_when_the_results_are_written(spark, tmp_path):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = {p for p in Path(folder).glob("visitloom-*")}
+    tables = Tables(raw_actions(spark, [action("s")]), users(spark, (1, 20, "a", "x", "male")))
+    job.run(spark, tables, 3, FileSink(str(tmp_path)), TaskParams())
+    assert {p for p in Path(folder).glob("visitloom-*")} == before
+
+
+def test_results_are_written_after_all_are_computed(spark, tmp_path, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(job.details, "shape_detail", fail)
+    tables = Tables(raw_actions(spark, [action("s")]), users(spark, (1, 20, "a", "x", "male")))
+    with pytest.raises(RuntimeError):
+        job.run(spark, tables, 3, FileSink(str(tmp_path / "results")), TaskParams())
+    assert not (tmp_path / "results").exists()
+
+
+def test_local_folders_are_refused_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(ValueError):
+        job.Stages(spark)
+
+
+@pytest.mark.parametrize("source", ["paths", "catalog"])
+def test_job_loads_the_stored_task(spark, tmp_path, source):
+    document = '{"sex":["male"]}'
+    people = users(spark, (1, 20, "a", "x", "male"), (2, 20, "a", "x", "female"))
+    stored = {
+        "user_visit_action": raw_actions(spark, [action("m", user=1), action("f", user=2)]),
+        "user_info": people,
+        "task": spark.createDataFrame([(7, "t", None, None, None, "s", "n", document)], TASK),
+    }
+    spark.sql("create database if not exists source_tables")
+    for name, df in stored.items():
+        if source == "paths":
+            df.write.parquet(f"{tmp_path}/in/{name}")
+        else:
+            df.write.mode("overwrite").saveAsTable(f"source_tables.{name}")
+    if source == "paths":
+        tables = Tables.from_paths(spark, f"{tmp_path}/in")
+    else:
+        tables = Tables.from_catalog(spark, "source_tables")
+    sink = FileSink(str(tmp_path / "out"))
+    job.run(spark, tables, 7, sink)
+    assert sink.read(spark, "session_aggr_stat").first()["session_count"] == 1
+
+
 def test_unseeded_runs_draw_differently(spark, tmp_path):
     sink = FileSink(str(tmp_path))
     tables = star.tables(spark, SMALL)

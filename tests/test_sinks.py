@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrameReader, DataFrameWriter
 
 from visitloom.schemas import TOP10_SESSION
 from visitloom.sinks import FileSink, JdbcSink, TableSink
@@ -43,19 +43,42 @@ def test_table_sink_replaces_one_task(spark):
     assert [r["taskid"] for r in spark.table("results.top10_session").collect()] == [2]
 
 
-def test_jdbc_sink_appends_in_batches(spark, monkeypatch):
-    """Checks the call only: no database is started."""
-    calls = []
-    monkeypatch.setattr(
-        DataFrameWriter,
-        "jdbc",
-        lambda self, url, table, mode=None, properties=None: calls.append(
-            (url, table, mode, properties)
-        ),
-    )
-    sink = JdbcSink("jdbc:x:y", {"user": "u"}, batch_size=50, connections=2)
-    sink.write("top10_session", result(spark, 1, "a"), 1)
+@pytest.fixture
+def calls(spark, monkeypatch):
+    """Reads and writes that would go to a database: none is started."""
+    made = []
+
+    def read(self, url, table, properties=None):
+        made.append(("read", url, table, properties))
+        return result(spark, 1, *(["a"] if "= 2)" in table else []))
+
+    def write(self, url, table, mode=None, properties=None):
+        made.append(("write", url, table, mode, properties, self._df.rdd.getNumPartitions()))
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", read)
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+    return made
+
+
+def test_jdbc_sink_appends_in_batches(spark, calls):
+    sink = JdbcSink("jdbc:x:y", {"user": "u"}, batch_size=50, connections=3)
+    rows = spark.range(100, numPartitions=20).selectExpr("1L", "id", "cast(id as string)", "2L")
+    sink.write("top10_session", rows.toDF(*TOP10_SESSION.fieldNames()), 1)
     assert calls == [
-        ("jdbc:x:y", "top10_session", "append",
-         {"user": "u", "batchsize": "50", "numPartitions": "2"})
+        ("read", "jdbc:x:y", "(select taskid from top10_session where taskid = 1) as written", {"user": "u"}),
+        ("write", "jdbc:x:y", "top10_session", "append", {"user": "u", "batchsize": "50"}, 3),
     ]
+
+
+def test_jdbc_sink_refuses_a_task_that_is_there(spark, calls):
+    with pytest.raises(ValueError):
+        JdbcSink("jdbc:x:y").write("top10_session", result(spark, 2, "a"), 2)
+    assert [c[0] for c in calls] == ["read"]
+
+
+def test_jdbc_sink_does_not_merge_the_tasks_that_make_the_rows(spark, calls, monkeypatch):
+    plans = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, *a, **b: plans.append(self._df))
+    JdbcSink("jdbc:x:y", connections=2).write("top10_session", result(spark, 1, "a"), 1)
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 2, true" in plan

@@ -21,7 +21,9 @@ class Stages:
 
     A stored stage survives lost executors, cuts the lineage, reads column by
     column, and has a known size, by which Spark decides about broadcasts.
-    The folder of a run is left to the folder's own clean-up, as checkpoints are.
+    A run deletes its own folder when its results are written; that of a failed run is left to the
+    shared folder's clean-up, as checkpoints are. On a cluster, a path without another scheme than
+    ``file`` is refused: executors would write it to their own disks.
     """
 
     def __init__(self, spark: SparkSession, checkpoint_dir: str | None = None) -> None:
@@ -29,6 +31,10 @@ class Stages:
         shared = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir
         if not shared:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(shared)
+        self._files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if self._files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{shared} is local to each machine; name a shared folder")
         self.root = f"{shared.rstrip('/')}/visitloom-{secrets.token_hex(8)}"
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
@@ -36,6 +42,9 @@ class Stages:
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
+    def delete(self) -> None:
+        self._files.delete(self._spark._jvm.org.apache.hadoop.fs.Path(self.root), True)
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -54,7 +63,10 @@ def run(
     params: TaskParams | None = None,
     settings: Settings = Settings(),
 ) -> None:
-    """Compute the five results of a task and write each of them once.
+    """Compute the five results of a task, then write each of them once.
+
+    All results are stages before the first is written, so a failure while computing leaves the
+    results of earlier runs as they were.
 
     The actions are read four times: once each for sessions, category activity
     and the lists of the drawn sessions, with few columns; and once in full
@@ -66,6 +78,11 @@ def run(
         params = load_params(tables.tasks, taskid)
     seed = settings.seed if settings.seed is not None else secrets.token_hex(8)
     stages = Stages(spark, settings.checkpoint_dir)
+    results: dict[str, DataFrame] = {}
+
+    def keep(table: str, result: DataFrame) -> None:
+        results[table] = stages.store(table, result)
+
     actions = scan_actions(tables.actions, params.start_date, params.end_date)
 
     selected = stages.store(
@@ -74,7 +91,7 @@ def run(
             "session_id", "start_time", "visit_length", "step_length"
         ),
     )
-    sink.write("session_aggr_stat", stats.session_aggr_stat(selected, taskid), taskid)
+    keep("session_aggr_stat", stats.session_aggr_stat(selected, taskid))
 
     drawn = stages.store(
         "drawn", sampling.draw_sessions(selected, seed, settings.extract_total)
@@ -85,7 +102,7 @@ def run(
         "top_categories",
         categories.top_categories(categories.sum_activity(activity), settings.top_categories),
     )
-    sink.write("top10_category", categories.top10_category(top, taskid), taskid)
+    keep("top10_category", categories.top10_category(top, taskid))
 
     clicks = activity.where("click_count > 0").select("session_id", "category_id", "click_count")
     busiest = stages.store(
@@ -95,19 +112,23 @@ def run(
             settings.top_sessions,
         ),
     )
-    sink.write("top10_session", topn.top10_session(busiest, taskid), taskid)
+    keep("top10_session", topn.top10_session(busiest, taskid))
 
     extract = sampling.session_random_extract(
         _near(actions, drawn, settings.extract_total), drawn, taskid, settings.extract_total
     )
-    sink.write("session_random_extract", extract, taskid)
+    keep("session_random_extract", extract)
 
     # Both producers of session details in one read and one write: a session
     # comes out once if it was drawn, and once more per top list it is in.
     chosen = drawn.select("session_id").distinct().union(busiest.select("session_id"))
     chosen_rows = settings.extract_total + settings.top_categories * settings.top_sessions
     detail = details.detail_of_each(_near(actions, chosen, chosen_rows), chosen, chosen_rows)
-    sink.write("session_detail", details.shape_detail(detail, taskid), taskid)
+    keep("session_detail", details.shape_detail(detail, taskid))
+
+    for table, result in results.items():
+        sink.write(table, result, taskid)
+    stages.delete()
 
 
 def _near(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFrame:

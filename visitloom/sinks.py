@@ -56,9 +56,10 @@ class TableSink:
 
 @dataclass(frozen=True)
 class JdbcSink:
-    """Database tables, appended in batches; each partition is one transaction.
+    """Existing database tables, appended in batches; each partition is one transaction.
 
-    Appends are not idempotent: delete a task's rows before running it again.
+    A task whose rows are there already is refused, as appending would repeat them: delete them
+    before running it again, also after a failure between the transactions.
     """
 
     url: str
@@ -67,9 +68,10 @@ class JdbcSink:
     connections: int = 8
 
     def write(self, table: str, result: DataFrame, taskid: int) -> None:
-        options = {
-            **self.properties,
-            "batchsize": str(self.batch_size),
-            "numPartitions": str(self.connections),
-        }
-        result.write.jdbc(self.url, table, mode="append", properties=options)
+        written = f"(select taskid from {table} where taskid = {int(taskid)}) as written"
+        if result.sparkSession.read.jdbc(self.url, written, properties=dict(self.properties)).head(1):
+            raise ValueError(f"{table} has rows of task {taskid}")
+        options = {**self.properties, "batchsize": str(self.batch_size)}
+        # Dealt out anew: the option numPartitions would run what makes the rows in as few tasks.
+        rows = result.repartition(self.connections)
+        rows.write.jdbc(self.url, table, mode="append", properties=options)

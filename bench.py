@@ -33,12 +33,10 @@ HEADLINE = (
     "session_random_extract",
     "extract_session_detail",
     "category_counts",
-    "category_counts_by_join",
     "session_category_activity",
     "top10_category",
     "top10_session",
     "top10_session_detail",
-    "mock_actions",
 )
 
 

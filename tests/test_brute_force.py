@@ -17,7 +17,7 @@ from visitloom.schemas import BANDS, USER_VISIT_ACTION
 from visitloom.sinks import FileSink
 from visitloom.sources.tables import Tables
 
-WORDS = ["hotpot", "fish hotpot", "a,b", "", "x=y|z", None]
+WORDS = ["lamp", "desk lamp", "a,b", "", "x=y|z", None]
 LISTS = ["1", "2,3,3", "4,,5,", ",", "", "x,6", None, None]
 TIMES = ["{d} {h}:{m:02d}:{s:02d}", "{d} {h:02d}:{m:02d}:{s:02d}", "{d}", "broken"]
 
@@ -55,7 +55,7 @@ PEOPLE = [
 PARAMS = [
     TaskParams(),
     TaskParams(start_date="2024-01-02", end_date="2024-01-03", sex=("male",)),
-    TaskParams(start_age=20, end_age=40, keywords=("hotpot", "a,b")),
+    TaskParams(start_age=20, end_age=40, keywords=("lamp", "a,b")),
     TaskParams(category_ids=("7", "3"), cities=("x", "y"), professionals=("a",)),
     TaskParams(sex=()),
 ]

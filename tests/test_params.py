@@ -8,7 +8,7 @@ from visitloom.sources.tasks import load_params, task_by_id, task_params
 
 DOCUMENT = (
     '{"startDate":["2024-01-03"],"endDate":["2024-01-28"],"startAge":["10"],"endAge":[50],'
-    '"keywords":["hotpot,sushi,,cake"],"cities":[],"sex":[""],"professionals":[null],"other":["x"]}'
+    '"keywords":["lamp,pillow,,rug"],"cities":[],"sex":[""],"professionals":[null],"other":["x"]}'
 )
 
 
@@ -18,7 +18,7 @@ def test_from_json():
         end_date="2024-01-28",
         start_age=10,
         end_age=50,
-        keywords=("hotpot", "sushi", "cake"),
+        keywords=("lamp", "pillow", "rug"),
     )
 
 
@@ -59,7 +59,7 @@ def test_task_lookup(spark):
 def test_params_as_columns(spark):
     row = task_params(tasks(spark, (2, DOCUMENT))).first()
     assert (row["startDate"], row["endAge"], row["keywords"]) == (
-        "2024-01-03", "50", "hotpot,sushi,,cake",
+        "2024-01-03", "50", "lamp,pillow,,rug",
     )
     assert (row["cities"], row["professionals"], row["categoryIds"]) == (None, None, None)
     assert task_params(tasks(spark, (5, "{bad"))).first()["sex"] is None

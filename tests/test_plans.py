@@ -149,3 +149,46 @@ def test_no_cross_joins(spark, name):
     plan = plan_of(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "InPandas" not in plan
+
+
+def reads_of_events(query) -> int:
+    """How often a query that ran has read the events; a reused exchange reads nothing."""
+    query.collect()
+    final = query._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(re.findall(r"FileScan parquet \[[^\n]*events\.parquet", final))
+
+
+@pytest.mark.parametrize(
+    ("name", "reads"),
+    [
+        ("session_rollup", 1),
+        ("session_full_info", 1),
+        ("kv_pack", 1),
+        ("session_random_extract", 2),
+        ("extract_session_detail", 2),
+        ("top_category_session_counts", 2),
+        ("top10_session", 2),
+        ("top10_session_detail", 3),
+    ],
+)
+def test_events_are_read_so_often(spark, name, reads):
+    with conf(spark, spark_sql_maxMetadataStringLength="400"):
+        assert reads_of_events(QUERIES[name](spark, SMALL)) == reads
+
+
+def test_dates_bound_the_stored_time(spark):
+    plan = plan_of(QUERIES["scan_actions_by_date"](spark, SMALL))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,2024-01-03", plan)
+    assert re.search(r"LessThan\(ts,2024-01-29", plan)
+
+
+def test_stored_days_stay(spark, tmp_path):
+    def day(n, *names):
+        rows = [action(name, f"2024-01-0{n} 1:00:00") for name in names]
+        store_actions(raw_actions(spark, rows), str(tmp_path / "acts"), 2)
+        stored = spark.read.parquet(str(tmp_path / "acts"))
+        return sorted((str(r["date"])[-1], r["session_id"]) for r in stored.collect())
+
+    assert day(1, "a", "b") == [("1", "a"), ("1", "b")]
+    assert day(2, "c") == [("1", "a"), ("1", "b"), ("2", "c")]
+    assert day(1, "d") == [("1", "d"), ("2", "c")]

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import action, actions, raw_actions, users
 from visitloom.functions.predicates import any_overlap
+from visitloom.functions.text import pack_kv
 from visitloom.operators import sessions as S
+from visitloom.operators.sampling import session_random_extract
 from visitloom.params import TaskParams
 from visitloom.sources.tables import Tables, scan_actions
 
@@ -43,42 +46,91 @@ def test_lists(spark):
     df = actions(
         spark,
         [
-            action("s", search_keyword="hotpot", click_category_id=10),
-            action("s", search_keyword="fish hotpot", click_category_id=10),
-            action("s", search_keyword="hotpot", click_category_id=9),
+            action("s", search_keyword="lamp", click_category_id=10),
+            action("s", search_keyword="desk lamp", click_category_id=10),
+            action("s", search_keyword="lamp", click_category_id=9),
             action("s", search_keyword=""),
             action("t"),
             action("k", search_keyword="a,b"),
         ],
     )
     got = by_session(S.session_lists(df), "search_keywords", "click_category_ids")
-    assert got == {"s": ("fish hotpot,hotpot", "9,10,10"), "k": ("a,b", None)}
+    assert got == {"s": ("desk lamp,lamp", "9,10,10"), "k": ("a,b", None)}
+
+
+@pytest.fixture(scope="module")
+def long_session(spark):
+    """One session of 150,000 clicks and 50,000 searches, and a short one."""
+    rows = spark.range(200_000).selectExpr(
+        "'2024-01-01' as date", "1L as user_id", "'long' as session_id", "id % 10 as page_id",
+        "concat('2024-01-01 1:', lpad(id div 60 % 60, 2, '0'), ':', lpad(id % 60, 2, '0')) as action_time",
+        "if(id % 4 = 0, concat('word', id % 900), null) as search_keyword",
+        "if(id % 4 <> 0, id % 97, null) as click_category_id", "cast(null as bigint) as click_product_id",
+        *(f"cast(null as string) as {c}" for c in (
+            "order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids")),
+        "1L as city_id",
+    )
+    return scan_actions(rows.union(raw_actions(spark, [action("short", click_category_id=5)])))
+
+
+def test_a_long_session_is_one_row(spark, long_session):
+    duck = duckdb.connect()
+    duck.register("acts", long_session.toPandas())
+    wanted = duck.execute(
+        '''select session_id,
+            array_to_string(list_sort(list(distinct search_keyword)
+                filter (search_keyword is not null)), ','),
+            array_to_string(list(cast(click_category_id as bigint) order by click_category_id)
+                filter (click_category_id is not null), ',')
+        from acts group by 1'''
+    ).fetchall()
+    wanted = {r[0]: r[1:] for r in wanted}
+    columns = ("search_keywords", "click_category_ids")
+    assert wanted["long"][1].count(",") == 149_999
+    assert S.session_lists(long_session).count() == 2
+    assert by_session(S.session_lists(long_session), *columns) == wanted
+    assert by_session(S.session_records(long_session), *columns) == wanted
+    assert by_session(S.session_click_categories(long_session), columns[1]) == {
+        k: v[1:] for k, v in wanted.items()
+    }
+    chosen = spark.createDataFrame([("long", 1), ("short", 1)], "session_id string, place int")
+    few = S.lists_of_few(long_session, chosen, 2)
+    assert few.count() == 2 and by_session(few, *columns) == wanted
+    drawn = S.session_rollup(long_session).select(
+        "session_id", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss").alias("start_time")
+    ).withColumn("place", F.lit(1))
+    extract = session_random_extract(long_session, drawn, 1).collect()
+    assert {r["sessionid"]: (r["search_keywords"], r["click_category_ids"]) for r in extract} == wanted
+    packed = pack_kv(S.session_records(long_session), {"clickCategoryIds": "click_category_ids"})
+    texts = {r["session_id"]: (r["packed"],) for r in packed.collect()}
+    assert texts == {k: (f"clickCategoryIds={v[1]}",) for k, v in wanted.items()}
+
+
+def test_records_are_the_rollup_with_lists(spark):
+    df = actions(
+        spark,
+        [
+            action("s", "2024-01-01 1:00:00", 3, search_keyword="lamp", click_category_id=4),
+            action("s", "2024-01-01 1:00:09", 2, search_keyword="rug", click_category_id=4),
+            action("s", "nonsense", 5),
+            action("t", None, None),
+            action(None),
+        ],
+    )
+    rolled = S.session_rollup(df)
+    assert sorted(S.session_records(df).select(rolled.columns).collect()) == sorted(rolled.collect())
+    got = by_session(S.session_records(df), "search_keywords", "click_category_ids")
+    assert got == {"s": ("lamp,rug", "4,4"), "t": (None, None)}
 
 
-def test_long_lists_are_spread_over_rows(spark):
-    clicks = [2] * 500 + [10] * 40 + [11]
-    words = [f"w{n}" for n in range(300)]
+def test_list_entries(spark):
     df = actions(
         spark,
-        [action("s", click_category_id=c, search_keyword="w0") for c in clicks]
-        + [action("s", search_keyword=w) for w in words]
-        + [action("short", click_category_id=c) for c in [5] * 90 + [6]],
+        [action("s", search_keyword="lamp", click_category_id=4)] * 2
+        + [action("s", search_keyword=""), action(None, click_category_id=4)],
     )
-    parts = S.session_lists(df, part_size=100).collect()
-    (short,) = (r for r in parts if r["session_id"] == "short")
-    assert (short["part"], short["click_category_ids"]) == (0, ",".join(["5"] * 90 + ["6"]))
-    long = [r for r in parts if r["session_id"] == "s"]
-    assert 8 < len(long) <= 17
-    kept_words, kept_clicks = [], []
-    for row in long:
-        own_words = (row["search_keywords"] or "").split(",") if row["search_keywords"] else []
-        own_clicks = [int(c) for c in (row["click_category_ids"] or "").split(",") if c]
-        assert own_words == sorted(own_words) and own_clicks == sorted(own_clicks)
-        assert len(own_words) + len(own_clicks) <= 150
-        kept_words += own_words
-        kept_clicks += own_clicks
-    assert sorted(kept_words) == sorted(words)
-    assert sorted(kept_clicks) == clicks
+    got = sorted(map(tuple, S.session_list_entries(df).collect()))
+    assert got == [("s", "category", "4", 2), ("s", "keyword", "lamp", 2)]
 
 
 def test_lists_of_few_equal_the_lists_of_all(spark):
@@ -88,17 +140,13 @@ def test_lists_of_few_equal_the_lists_of_all(spark):
         + [action("none")],
     )
     columns = ("session_id", "search_keywords", "click_category_ids")
-    rolled = S.session_rollup(df).select("session_id", "step_length")
+    rolled = S.session_rollup(df).select("session_id")
     chosen = rolled.where("session_id in ('s1', 's2', 'none')")
     wanted = S.session_lists(df).where("session_id in ('s1', 's2')").select(*columns).collect()
     for max_rows in (3, 100_000):
         few = S.lists_of_few(df, chosen, max_rows).select(*columns)
         got = sorted(map(tuple, few.collect()))
         assert got == sorted([*map(tuple, wanted), ("none", None, None)])
-    parts = S.lists_of_few(df, chosen, 3, part_size=10)
-    assert parts.count() > 3
-    clicks = [c for r in parts.collect() for c in (r["click_category_ids"] or "").split(",") if c]
-    assert len(clicks) == sum(r["step_length"] for r in chosen.collect()) - 1
 
 
 def test_join_drops_unknown_users_and_repeats_duplicates(spark):
@@ -115,9 +163,9 @@ def kept(spark, params, rows):
 
 
 ROWS = [
-    action("a", user=1, search_keyword="hotpot", click_category_id=3),
-    action("a", user=1, search_keyword="cake"),
-    action("b", user=2, search_keyword="fish hotpot"),
+    action("a", user=1, search_keyword="lamp", click_category_id=3),
+    action("a", user=1, search_keyword="rug"),
+    action("b", user=2, search_keyword="desk lamp"),
     action("c", user=3, click_category_id=33),
 ]
 
@@ -134,18 +182,25 @@ def test_filters(spark):
     assert one(cities=("z",)) == ["c"]
     assert one(sex=("male",)) == ["a", "c"]
     assert one(sex=()) == []
-    assert one(keywords=("hotpot",)) == ["a"]
-    assert one(keywords=("nothing", "fish hotpot")) == ["b"]
+    assert one(keywords=("lamp",)) == ["a"]
+    assert one(keywords=("nothing", "desk lamp")) == ["b"]
     assert one(keywords=()) == []
     assert one(category_ids=("3",)) == ["a"]
     assert one(category_ids=("x", "33")) == ["c"]
     assert one(category_ids=("x", "03", "")) == []
+    assert one(category_ids=("9223372036854775808", "-9223372036854775809")) == []
     assert one(sex=("male",), category_ids=("3", "33"), cities=("z", "y")) == ["c"]
 
 
+@pytest.mark.parametrize("limit", [10**18, 2**63 - 1, -(2**63)])
+def test_category_ids_of_any_bigint(spark, limit):
+    rows = [action("a", user=1, click_category_id=limit), action("b", user=2, click_category_id=1)]
+    assert kept(spark, TaskParams(category_ids=(str(limit),)), rows) == ["a"]
+
+
 def test_keyword_flag_equals_array_overlap(spark):
     df = actions(spark, ROWS)
-    wanted = ("cake", "fish hotpot")
+    wanted = ("rug", "desk lamp")
     flagged = S.session_rollup(df, TaskParams(keywords=wanted)).where("keyword_hit")
     listed = df.groupBy("session_id").agg(F.collect_set("search_keyword").alias("words"))
     overlapping = listed.where(any_overlap(F.col("words"), wanted))
@@ -155,7 +210,7 @@ def test_keyword_flag_equals_array_overlap(spark):
 
 
 def test_filtered_sessions_carry_no_flags(spark):
-    params = TaskParams(keywords=("hotpot",), category_ids=("3",))
+    params = TaskParams(keywords=("lamp",), category_ids=("3",))
     selected = S.select_sessions(actions(spark, ROWS), users(spark, *ALL_USERS), params)
     assert not {"keyword_hit", "category_hit"} & set(selected.columns)
 
@@ -185,6 +240,7 @@ def test_tables_from_files(spark, tmp_path, fmt):
     got = {tuple(r) for r in scan_actions(tables.actions).collect()}
     assert got == {tuple(r) for r in actions(spark, rows).collect()}
     assert tables.users.count() == 3
+    assert tables.tasks is None
 
 
 def test_scan_takes_typed_columns(spark):

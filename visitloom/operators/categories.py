@@ -18,9 +18,14 @@ def category_events(actions: DataFrame, *keep: str) -> DataFrame:
     """
     ids = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
     has_any = " or ".join(f"{column} is not null" for column in ids.values())
-    stacked = ", ".join(f"'{kind}', cast({column} as string)" for kind, column in ids.items())
-    rows = actions.where(has_any).select(*keep, F.expr(f"stack(3, {stacked}) as (kind, ids)"))
-    return explode_ids(rows, "ids", "category_id").select(*keep, "kind", "category_id")
+    event = "struct('{}' as kind, {} as category_id)"
+    lists = ", ".join(
+        f"transform(split(coalesce({ids[kind]}, ''), ','), c -> {event.format(kind, 'try_cast(c as bigint)')})"
+        for kind in ("order", "pay")
+    )
+    events = f"explode(concat(array({event.format('click', ids['click'])}), {lists})) as event"
+    rows = actions.where(has_any).select(*keep, F.expr(events))
+    return rows.select(*keep, "event.kind", "event.category_id").where("category_id is not null")
 
 
 def _counts():

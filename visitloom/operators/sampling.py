@@ -98,6 +98,6 @@ def session_random_extract(
     A session that a repeated user row made twice, and that was drawn twice,
     comes out twice: its places differ.
     """
-    chosen = drawn.select("session_id", "place", "start_time", "step_length")
+    chosen = drawn.select("session_id", "place", "start_time")
     rows = lists_of_few(actions, chosen, extract_total)
     return shape_result(rows, SESSION_RANDOM_EXTRACT, taskid, sessionid="session_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitloom.functions.predicates import all_of, between, one_of
@@ -12,7 +12,6 @@ from visitloom.operators.bounded import BROADCAST_ROWS, own_shuffle
 from visitloom.params import TaskParams
 
 NO_FILTER = TaskParams()
-LIST_PART = 100_000
 
 
 def session_rollup(actions: DataFrame, params: TaskParams = NO_FILTER) -> DataFrame:
@@ -42,94 +41,95 @@ def session_rollup(actions: DataFrame, params: TaskParams = NO_FILTER) -> DataFr
     )
 
 
+BIGINT = range(-(2**63), 2**63)
+
+
 def _ids(texts: tuple[str, ...] | None) -> tuple[int, ...] | None:
-    """Category ids as numbers; text that is not how an id is written matches none."""
+    """Category ids as numbers; text that is not how a bigint is written matches none."""
     if texts is None:
         return None
-    return tuple(int(t) for t in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,17}", t))
+    ids = (int(t) for t in texts if re.fullmatch(r"0|-?[1-9][0-9]{0,18}", t))
+    return tuple(i for i in ids if i in BIGINT)
 
 
-def _list_entries(actions: DataFrame, keys: list[str], with_empty: bool = False) -> DataFrame:
-    """Distinct keywords (``n`` = 1) and clicked categories (``n`` = clicks) per session.
+def _list_texts() -> list[Column]:
+    """The lists of a session, from its actions counted by distinct (keyword, category).
 
-    ``with_empty`` adds one entry that is neither, so that every session is there.
+    A buffer grows with the distinct values of a session; repeats are written out in the text only.
     """
-    entries = actions.where(F.col("session_id").isNotNull()).selectExpr(
-        *keys,
-        """stack(3, nullif(search_keyword, ''), cast(null as bigint),
-                    cast(null as string), click_category_id,
-                    cast(null as string), cast(null as bigint)) as (keyword, category)""",
-    )
-    if not with_empty:
-        entries = entries.where("keyword is not null or category is not null")
-    counts = F.expr("if(category is null, 1, count(1))").alias("n")
-    return entries.groupBy(*keys, "keyword", "category").agg(counts)
-
-
-def _list_texts(entries: DataFrame, keys: list[str], part_size: int) -> DataFrame:
-    """Write the lists; sessions with a ``total`` above ``part_size`` are spread over rows."""
-    piece_size = max(1, part_size // 10)
-    pieces = entries.selectExpr(
-        "*", f"explode(sequence(0, (n - 1) div {piece_size})) as piece"
-    ).selectExpr(
-        *keys,
-        f"""if(total > {part_size} and (keyword is not null or category is not null),
-            pmod(xxhash64(keyword, category, piece), 2 * total div {part_size} + 1), 0) as part""",
-        "keyword",
-        f"""if(category is null, null, struct(category,
-            cast(least({piece_size}, n - piece * {piece_size}) as int) as n)) as click""",
-    )
-    return (
-        own_shuffle(pieces)
-        .groupBy(*keys, "part")
-        .agg(
-            F.expr("nullif(array_join(array_sort(collect_list(keyword)), ','), '')").alias(
-                "search_keywords"
-            ),
-            F.expr(
-                """nullif(rtrim(',', array_join(transform(array_sort(collect_list(click)),
-                    c -> repeat(concat(c.category, ','), c.n)), '')), '')"""
-            ).alias("click_category_ids"),
-        )
+    clicks = "array_sort(collect_list(if(category is null, null, struct(category, cast(n as int) as n))))"
+    return [
+        F.expr("nullif(array_join(array_sort(collect_set(keyword)), ','), '')").alias(
+            "search_keywords"
+        ),
+        F.expr(
+            f"""nullif(rtrim(',', array_join(
+                transform({clicks}, c -> repeat(concat(c.category, ','), c.n)), '')), '')"""
+        ).alias("click_category_ids"),
+    ]
+
+
+def _counted(actions: DataFrame, keys: list[str], *measures: Column) -> DataFrame:
+    """Actions counted (``n``) by keys, keyword and clicked category; a hot session shrinks here."""
+    values = actions.where(F.col("session_id").isNotNull()).withColumns(
+        {"keyword": F.expr("nullif(search_keyword, '')"), "category": F.col("click_category_id")}
     )
+    return values.groupBy(*keys, "keyword", "category").agg(F.count(F.lit(1)).alias("n"), *measures)
 
 
-def session_lists(actions: DataFrame, part_size: int = LIST_PART) -> DataFrame:
+def session_lists(actions: DataFrame) -> DataFrame:
     """Per session: sorted distinct keywords, and sorted clicked categories with repeats.
 
-    One row per session, unless its lists have more than ``part_size`` entries
-    together. Then its entries are spread by hash over several rows, numbered by
-    ``part`` and each sorted by itself, of about half that size. So no cell and
-    no buffer grows with the session, and many tasks build the rows of one
-    session. Equal values are counted first; repeats are written out only in
-    the text. Sessions without any value are absent.
+    One row per session, however long; sessions without any value are absent. A list is one cell:
+    beyond what Spark can hold in one, the query fails. :func:`session_list_entries` has no cells.
     """
-    entries = _list_entries(actions, ["session_id"])
-    long = (
-        entries.groupBy("session_id")
-        .agg(F.sum("n").alias("total"))
-        .where(F.col("total") > part_size)
+    some = actions.where("nullif(search_keyword, '') is not null or click_category_id is not null")
+    return _counted(some, ["session_id"]).groupBy("session_id").agg(*_list_texts())
+
+
+def session_list_entries(actions: DataFrame) -> DataFrame:
+    """The same lists as rows, for sessions of any size: kind (keyword or category), value, and in
+    ``n`` how many actions of the session have it."""
+    entries = actions.where(F.col("session_id").isNotNull()).selectExpr(
+        "session_id",
+        """stack(2, 'keyword', nullif(search_keyword, ''),
+            'category', cast(click_category_id as string)) as (kind, value)""",
+    )
+    counted = entries.where("value is not null").groupBy("session_id", "kind", "value")
+    return counted.agg(F.count(F.lit(1)).alias("n"))
+
+
+def session_records(actions: DataFrame) -> DataFrame:
+    """The roll-up with the lists: one scan, first by distinct keyword and category, then by session."""
+    counted = _counted(
+        actions,
+        ["session_id"],
+        F.min("user_id").alias("user_id"),
+        F.min("action_ts").alias("first_ts"),
+        F.max("action_ts").alias("last_ts"),
+    )
+    records = counted.groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("first_ts").alias("start_time"),
+        F.max("last_ts").alias("end_time"),
+        F.sum("n").alias("step_length"),
+        *_list_texts(),
+    )
+    return records.withColumn(
+        "visit_length", F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
     )
-    sized = entries.join(own_shuffle(long), "session_id", "left")
-    return _list_texts(sized, ["session_id"], part_size)
 
 
-def lists_of_few(
-    actions: DataFrame, chosen: DataFrame, max_rows: int, part_size: int = LIST_PART
-) -> DataFrame:
+def lists_of_few(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFrame:
     """The lists of at most ``max_rows`` chosen sessions, beside the columns of ``chosen``.
 
-    ``chosen`` holds distinct rows with their ``step_length``, which bounds the
-    lists, so no totals are counted. While ``max_rows`` is small only the
-    counted entries are shuffled. Lists are null for sessions without a value.
+    ``chosen`` holds distinct rows. While ``max_rows`` is small only the counted values are
+    shuffled. Lists are null for sessions without a value.
     """
-    total = (2 * F.col("step_length")).alias("total")
-    kept = [name for name in chosen.columns if name != "step_length"]
-    sized = chosen.select(*kept, total)
-    sized = F.broadcast(sized) if max_rows <= BROADCAST_ROWS else own_shuffle(sized)
+    sized = F.broadcast(chosen) if max_rows <= BROADCAST_ROWS else own_shuffle(chosen)
     narrow = actions.select("session_id", "search_keyword", "click_category_id")
-    entries = _list_entries(narrow.join(sized, "session_id"), [*kept, "total"], with_empty=True)
-    return _list_texts(entries, kept, part_size)
+    counted = _counted(narrow.join(sized, "session_id"), chosen.columns)
+    return counted.groupBy(*chosen.columns).agg(*_list_texts())
 
 
 def session_keywords(actions: DataFrame) -> DataFrame:

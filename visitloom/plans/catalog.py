@@ -12,7 +12,7 @@ from visitloom.functions.predicates import equal
 from visitloom.operators import categories, details, sampling, sessions, stats, topn
 from visitloom.params import TaskParams
 from visitloom.schemas import TIME_FORMAT, USER_VISIT_ACTION
-from visitloom.sources import mock, star
+from visitloom.sources import star
 from visitloom.sources.tables import scan_actions, scan_products, scan_users
 from visitloom.sources.tasks import task_by_id, task_params
 
@@ -21,12 +21,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 TASKID = 1
 SEED = 7
 LOOKUP_TASK = 42
-MOCK_DATE = "2024-01-01"
 
 EVERYTHING = TaskParams()
 DATES = {"startDate": "2024-01-03", "endDate": "2024-01-28"}
 AGES = {"startAge": "10", "endAge": "50"}
-KEYWORDS = {"keywords": "hotpot,sushi,cake"}
+KEYWORDS = {"keywords": "lamp,rug,pillow"}
 CATEGORIES = {"categoryIds": "1,3,5,26,61,96"}
 SEGMENTS = {"professionals": "BUILDING,MACHINERY"}
 CITIES = {"cities": "NATION_1,NATION_2,NATION_10,NATION_17"}
@@ -51,7 +50,8 @@ def _query(function: Query) -> Query:
 
 
 def _actions(spark: SparkSession, sf_dir: str, params: TaskParams = EVERYTHING) -> DataFrame:
-    return scan_actions(star.user_visit_action(spark, sf_dir), params.start_date, params.end_date)
+    dates = params.start_date, params.end_date
+    return scan_actions(star.user_visit_action(spark, sf_dir, *dates), *dates)
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,28 +96,6 @@ def task_params_(spark, sf_dir):
     return task_params(star.task(spark, sf_dir))
 
 
-@_query
-def mock_actions(spark, sf_dir):
-    supplier = star.source(spark, sf_dir, "supplier")
-    # A block grows to some 120 actions: spread the few ids before that.
-    blocks = supplier.select(F.col("s_suppkey").alias("block_id")).repartition(
-        spark.sparkContext.defaultParallelism
-    )
-    return mock.mock_actions(blocks, MOCK_DATE, SEED)
-
-
-@_query
-def mock_users(spark, sf_dir):
-    customer = star.source(spark, sf_dir, "customer")
-    return mock.mock_users(customer.select(F.col("c_custkey").alias("user_id")), SEED)
-
-
-@_query
-def mock_products(spark, sf_dir):
-    part = star.source(spark, sf_dir, "part")
-    return mock.mock_products(part.select(F.col("p_partkey").alias("product_id")), SEED)
-
-
 # --- sessions ---------------------------------------------------------------------
 
 
@@ -137,13 +115,15 @@ def session_click_categories(spark, sf_dir):
     return sessions.session_click_categories(_actions(spark, sf_dir))
 
 
+@_query
+def session_list_entries(spark, sf_dir):
+    return sessions.session_list_entries(_actions(spark, sf_dir))
+
+
 @_query
 def session_full_info(spark, sf_dir):
-    actions = _actions(spark, sf_dir)
-    listed = sessions.session_rollup(actions).join(
-        sessions.session_lists(actions).drop("part"), "session_id", "left"
-    )
-    full = sessions.session_full_info(listed, _users(spark, sf_dir))
+    records = sessions.session_records(_actions(spark, sf_dir))
+    full = sessions.session_full_info(records, _users(spark, sf_dir))
     return _with_text_times(full, "start_time", "end_time")
 
 
@@ -337,11 +317,13 @@ def session_category_clicks(spark, sf_dir):
 
 
 def _top_counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
-    top = _top_categories(spark, sf_dir, params)
-    clicks = topn.session_category_clicks(_actions(spark, sf_dir, params))
-    counts = topn.top_category_session_counts(top, clicks, categories.TOP_CATEGORIES)
-    chosen = _selected(spark, sf_dir, params).select("session_id")
-    return counts.join(chosen, "session_id", "left_semi")
+    activity = _activity(spark, sf_dir, params)
+    top = categories.top_categories(categories.sum_activity(activity))
+    # The counts that are never negative keep this plan equal to the one above up to the shuffle,
+    # so that Spark reads the actions once for both.
+    clicked = "click_count > 0 and order_count >= 0 and pay_count >= 0"
+    clicks = activity.where(clicked).select("session_id", "category_id", "click_count")
+    return topn.top_category_session_counts(top, clicks, categories.TOP_CATEGORIES)
 
 
 @_query
@@ -381,13 +363,22 @@ def _times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def parse_action_times(spark, sf_dir):
-    """Actions of page 0 hold only a date, those of page 1 no time at all."""
-    damaged = _times(spark, sf_dir).withColumn(
-        "action_time",
-        F.when(F.col("page_id") == 0, F.col("date"))
-        .when(F.col("page_id") == 1, F.concat(F.lit("at "), "action_time"))
-        .otherwise(F.col("action_time")),
-    )
+    """Actions of most pages hold a time that is not written as it should be."""
+    time = F.col("action_time")
+    malformed = [
+        F.col("date"),
+        F.concat(F.lit("at "), time),
+        F.concat(time, F.lit("Z")),
+        F.concat(time, F.lit("+08:00")),
+        F.concat(time, F.lit(".5xyz")),
+        F.concat(time, F.lit(" ")),
+        F.replace(time, F.lit(" "), F.lit("T")),
+        F.replace(time, F.lit("-0"), F.lit("-")),
+    ]
+    damaged = time
+    for page, text_of_page in enumerate(malformed):
+        damaged = F.when(F.col("page_id") == page, text_of_page).otherwise(damaged)
+    damaged = _times(spark, sf_dir).withColumn("action_time", damaged)
     return _with_text_times(times.parse_action_times(damaged, "action_time", "parsed"), "parsed")
 
 
@@ -421,11 +412,8 @@ def elapsed_seconds(spark, sf_dir):
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions = _actions(spark, sf_dir)
-    listed = sessions.session_rollup(actions).join(
-        sessions.session_lists(actions).drop("part"), "session_id", "left"
-    )
-    packed = text.pack_kv(_with_text_times(listed, "start_time"), PACKED)
+    records = sessions.session_records(_actions(spark, sf_dir))
+    packed = text.pack_kv(_with_text_times(records, "start_time"), PACKED)
     return packed.select("packed")
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from visitloom.schemas import BANDS, TASK_PARAM_FIELDS
-from visitloom.sources.mock import length_thresholds
+from visitloom.schemas import TASK_PARAM_FIELDS
 
 ACTION_COLUMNS = """date, user_id, session_id, page_id, action_time, search_keyword,
     click_category_id, click_product_id, order_category_ids, order_product_ids,
@@ -27,15 +26,15 @@ ev2 as (
 all_actions as (
     select
         strftime(ts, '%Y-%m-%d') as date,
-        user_id,
+        case when user_id % 17 = 0 then user_id + 1000000000 else user_id end as user_id,
         'u' || user_id || '_' || ((day(ts) - 1) // span) as session_id,
         event_id % 10 as page_id,
         strftime(ts, '%Y-%m-%d') || ' ' || (sec // 3600) || ':'
             || lpad(cast(sec // 60 % 60 as varchar), 2, '0') || ':'
             || lpad(cast(sec % 60 as varchar), 2, '0') as action_time,
         case when event_type = 'view' then
-            ['hotpot', 'cake', 'spicy chicken', 'noodles', 'buffet',
-             'fish hotpot', 'tower', 'mall', 'sushi', 'spa'][1 + k % 10] end as search_keyword,
+            ['lamp', 'rug', 'mirror', 'bookshelf', 'clock',
+             'desk lamp', 'vase', 'candle', 'pillow', 'curtain'][1 + k % 10] end as search_keyword,
         case when event_type = 'click' then k end as click_category_id,
         case when event_type = 'click' then event_id % 100 end as click_product_id,
         case when event_type = 'purchase' then
@@ -57,7 +56,6 @@ users as (
         cast((c_custkey * 37) % 60 as integer) as age, c_mktsegment as professional,
         n_name as city, case when c_custkey % 2 = 0 then 'male' else 'female' end as sex
     from customer join nation on c_nationkey = n_nationkey
-    where c_custkey % 17 <> 0
 ),
 tasks as (
     select o_orderkey as task_id, 'task' || o_orderkey as task_name,
@@ -72,7 +70,7 @@ tasks as (
                 else '' end
         || case when o_orderkey % 3 = 0 then ',"endAge":["' || (o_orderkey % 30 + 25) || '"]'
                 else '' end
-        || case when o_orderkey % 5 = 0 then ',"keywords":["hotpot,sushi,cake"]' else '' end
+        || case when o_orderkey % 5 = 0 then ',"keywords":["lamp,rug,pillow"]' else '' end
         || case when o_orderkey % 7 = 0 then ',"categoryIds":["' || (o_orderkey % 100) || ','
                 || (o_orderkey % 13) || '"]' else '' end
         || case when o_orderkey % 6 = 0 then ',"sex":[]' else '' end
@@ -116,7 +114,7 @@ events_of as (
 
 DATES = "date between '2024-01-03' and '2024-01-28'"
 AGES = "age between 10 and 50"
-KEYWORDS = "list_has_any(keywords, ['hotpot', 'sushi', 'cake'])"
+KEYWORDS = "list_has_any(keywords, ['lamp', 'rug', 'pillow'])"
 CLICKED = "list_has_any(clicked, [1, 3, 5, 26, 61, 96])"
 SEGMENTS = "professional in ('BUILDING', 'MACHINERY')"
 CITIES = "city in ('NATION_1', 'NATION_2', 'NATION_10', 'NATION_17')"
@@ -134,6 +132,25 @@ from events_of"""
 
 OWN = "session_id in (select session_id from chosen)"
 
+# Measure, band, first and last value that counts; written out apart from the engine's.
+BANDS = (
+    ("visit_length", "visit_length_1s_3s", 1, 3),
+    ("visit_length", "visit_length_4s_6s", 4, 6),
+    ("visit_length", "visit_length_7s_9s", 7, 9),
+    ("visit_length", "visit_length_10s_30s", 10, 30),
+    ("visit_length", "visit_length_30s_60s", 31, 60),
+    ("visit_length", "visit_length_1m_3m", 61, 180),
+    ("visit_length", "visit_length_3m_10m", 181, 600),
+    ("visit_length", "visit_length_10m_30m", 601, 1800),
+    ("visit_length", "visit_length_30m", 1801, None),
+    ("step_length", "step_length_1_3", 1, 3),
+    ("step_length", "step_length_4_6", 4, 6),
+    ("step_length", "step_length_7_9", 7, 9),
+    ("step_length", "step_length_10_30", 10, 30),
+    ("step_length", "step_length_30_60", 31, 60),
+    ("step_length", "step_length_60", 61, None),
+)
+
 BAND_COUNTS = "select count(*) as session_count, " + ", ".join(
     f"cast(count(*) filter ({measure} >= {low}"
     + (f" and {measure} <= {high}" if high is not None else "")
@@ -233,73 +250,6 @@ from rolled"""
 CHOSEN = f"select {SESSION_COLUMNS}, {USER_COLUMNS} from chosen"
 
 
-def _mock_number(digest: str, part: int) -> str:
-    return f"cast('0x' || substr({digest}, {8 * part + 1}, 8) as bigint)"
-
-
-def _mock_actions() -> str:
-    thresholds = ", ".join(str(t) for t in length_thresholds())
-    number = _mock_number
-    return f"""
-with visits as (
-    select s_suppkey as block_id, cast(v as bigint) as visit,
-        {number("md5('7:user:' || s_suppkey)", 0)} % 100 as user_id,
-        md5('7:session:' || s_suppkey || ':' || v) as session_id
-    from supplier cross join range(10) as r(v)
-),
-sized as (
-    select *, {number("session_id", 1)} % 23 as hour, {number("session_id", 2)} % 100 as category,
-        (select count(*) from unnest([{thresholds}]) as t(c)
-         where {number("session_id", 0)} < c) as length
-    from visits
-),
-steps as (
-    select *, md5('step:' || session_id || ':' || k) as step,
-        md5('target:' || session_id || ':' || k) as target
-    from (select s.*, r.k from sized s join range(100) as r(k) on r.k < s.length)
-),
-typed as (
-    select *, ['search', 'click', 'order', 'pay'][1 + {number("step", 0)} % 4] as kind from steps
-),
-placed as (
-    select *, min(case when kind = 'click' then k end) over (partition by session_id) as first_click
-    from typed
-)
-select '2024-01-01' as date, user_id, session_id, {number("step", 1)} % 10 as page_id,
-    '2024-01-01 ' || hour || ':' || lpad(cast({number("step", 2)} % 59 as varchar), 2, '0')
-        || ':' || lpad(cast({number("step", 3)} % 59 as varchar), 2, '0') as action_time,
-    case when kind = 'search' then
-        ['hotpot', 'cake', 'spicy chicken', 'noodles', 'buffet', 'fish hotpot', 'tower', 'mall',
-         'sushi', 'spa'][1 + {number("target", 0)} % 10] end as search_keyword,
-    case when k >= first_click then category end as click_category_id,
-    case when kind = 'click' then {number("target", 1)} % 100 end as click_product_id,
-    case when kind = 'order' then cast({number("target", 0)} % 100 as varchar) end
-        as order_category_ids,
-    case when kind = 'order' then cast({number("target", 1)} % 100 as varchar) end
-        as order_product_ids,
-    case when kind = 'pay' then cast({number("target", 0)} % 100 as varchar) end
-        as pay_category_ids,
-    case when kind = 'pay' then cast({number("target", 1)} % 100 as varchar) end
-        as pay_product_ids,
-    {number("target", 2)} % 10 as city_id
-from placed"""
-
-
-MOCK_USERS = f"""
-with ids as (select c_custkey as user_id, md5('7:person:' || c_custkey) as d from customer)
-select user_id, 'user' || user_id as username, 'name' || user_id as name,
-    cast({_mock_number("d", 0)} % 60 as integer) as age,
-    'professional' || ({_mock_number("d", 1)} % 100) as professional,
-    'city' || ({_mock_number("d", 2)} % 100) as city,
-    case when {_mock_number("d", 3)} % 2 = 0 then 'male' else 'female' end as sex
-from ids"""
-
-MOCK_PRODUCTS = f"""
-select p_partkey as product_id, 'product' || p_partkey as product_name,
-    '{{"product_status": ' || ({_mock_number("md5('7:product:' || p_partkey)", 0)} % 2) || '}}'
-        as extend_info
-from part"""
-
 TIMES = "session_id, page_id, date, action_time"
 STAMP = "%Y-%m-%d %H:%M:%S"
 
@@ -318,9 +268,6 @@ ORACLE_SQL: dict[str, str] = {
         )
         + " from tasks"
     ),
-    "mock_actions": _mock_actions(),
-    "mock_users": MOCK_USERS,
-    "mock_products": MOCK_PRODUCTS,
     "session_rollup": _sql(f"select {SESSION_COLUMNS} from rolled"),
     "session_keywords": _sql(
         "select session_id, array_to_string(list_sort(keywords), ',') as search_keywords"
@@ -330,6 +277,12 @@ ORACLE_SQL: dict[str, str] = {
         "select session_id, array_to_string(clicked, ',') as click_category_ids"
         " from rolled where clicked is not null"
     ),
+    "session_list_entries": _sql("""
+        select session_id, 'keyword' as kind, search_keyword as value, count(*) as n
+        from actions where search_keyword is not null group by all
+        union all
+        select session_id, 'category', cast(click_category_id as varchar), count(*)
+        from actions where click_category_id is not null group by all"""),
     "session_full_info": _sql(f"select {SESSION_COLUMNS}, {USER_COLUMNS}, {LISTS} from chosen"),
     "filter_age_between": _sql(CHOSEN, sessions=AGES),
     "filter_age_one_sided": _sql(CHOSEN),
@@ -415,10 +368,16 @@ ORACLE_SQL: dict[str, str] = {
     "top10_session_detail": _sql(f"{TOP} {DETAIL} join busiest using (session_id)"),
     "parse_action_times": _sql(f"""
         select session_id, page_id, date, action_time,
-            strftime(try_strptime(action_time, '{STAMP}'), '{STAMP}') as parsed
+            case when regexp_full_match(action_time,
+                    '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{1,2}}:[0-9]{{2}}:[0-9]{{2}}')
+                then strftime(try_strptime(action_time, '{STAMP}'), '{STAMP}') end as parsed
         from (
             select session_id, page_id, date,
                 case page_id when 0 then date when 1 then 'at ' || action_time
+                    when 2 then action_time || 'Z' when 3 then action_time || '+08:00'
+                    when 4 then action_time || '.5xyz' when 5 then action_time || ' '
+                    when 6 then replace(action_time, ' ', 'T')
+                    when 7 then replace(action_time, '-0', '-')
                     else action_time end as action_time
             from actions
         )"""),

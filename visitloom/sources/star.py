@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitloom.schemas import PRODUCT_INFO, TASK, USER_INFO, USER_VISIT_ACTION
-from visitloom.sources.mock import SEARCH_KEYWORDS
 from visitloom.sources.tables import Tables
 
 # --- Fixed values ---------------------------------------------------------------
 
+SEARCH_KEYWORDS = (
+    "lamp", "rug", "mirror", "bookshelf", "clock",
+    "desk lamp", "vase", "candle", "pillow", "curtain",
+)
+UNKNOWN_USERS = 1_000_000_000  # added to the id of every 17th user in the actions
 SESSION_SPAN_DAYS = (1, 1, 1, 7, 30)  # by user_id % 5
 TIME_DIVISORS = (3600, 600, 60, 1)  # by user_id / 5 % 4; compresses a day's times
 
@@ -23,7 +28,6 @@ SOURCES = {
     "part": "p_partkey bigint, p_name string",
     "orders": "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
     "o_orderpriority string",
-    "supplier": "s_suppkey bigint",
 }
 
 
@@ -43,9 +47,21 @@ def _shaped(df: DataFrame, schema: T.StructType, columns: dict[str, str]) -> Dat
     )
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as actions; times are text with unpadded hours."""
-    events = source(spark, sf_dir, "events").selectExpr(
+def user_visit_action(
+    spark: SparkSession, sf_dir: str, start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
+    """``events`` as actions; times are text with unpadded hours.
+
+    The inclusive dates bound the stored time as it is, so they reach the reader. The actions of
+    every 17th user name one who is not in ``user_info``, so the user join drops some.
+    """
+    stored = source(spark, sf_dir, "events")
+    if start_date is not None:
+        stored = stored.where(F.col("ts") >= F.lit(start_date).cast("timestamp_ntz"))
+    if end_date is not None:
+        after = F.date_add(F.lit(end_date).cast("date"), 1)
+        stored = stored.where(F.col("ts") < after.cast("timestamp_ntz"))
+    events = stored.selectExpr(
         "event_id",
         "user_id",
         "event_type",
@@ -59,7 +75,7 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = _pick(SESSION_SPAN_DAYS, "user_id % 5")
     columns = {
         "date": "day",
-        "user_id": "user_id",
+        "user_id": f"if(user_id % 17 = 0, user_id + {UNKNOWN_USERS}, user_id)",
         "session_id": f"concat('u', user_id, '_', (dayofmonth(day) - 1) div {span})",
         "page_id": "event_id % 10",
         "action_time": "concat(day, ' ', second div 3600, ':', "
@@ -79,8 +95,8 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer`` with its nation as users; every 17th is missing, so the user join drops some."""
-    customer = source(spark, sf_dir, "customer").where("c_custkey % 17 <> 0")
+    """``customer`` with its nation as users."""
+    customer = source(spark, sf_dir, "customer")
     nation = source(spark, sf_dir, "nation")
     columns = {
         "user_id": "c_custkey",
@@ -119,7 +135,7 @@ def task(spark: SparkSession, sf_dir: str) -> DataFrame:
             field("endDate", end, "o_orderkey % 4 <> 0"),
             field("startAge", "o_orderkey % 30", "o_orderkey % 2 = 0"),
             field("endAge", "o_orderkey % 30 + 25", "o_orderkey % 3 = 0"),
-            field("keywords", "'hotpot,sushi,cake'", "o_orderkey % 5 = 0"),
+            field("keywords", "'lamp,rug,pillow'", "o_orderkey % 5 = 0"),
             field(
                 "categoryIds",
                 "concat(o_orderkey % 100, ',', o_orderkey % 13)",

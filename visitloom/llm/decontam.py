@@ -204,6 +204,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.1) ->
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
     """The documents, with all their columns, in which ``find_leaks`` finds no item. No shuffle."""
+    names, schema = documents.columns, documents.schema
     for sent in indexes(benchmark, rate):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -212,8 +213,8 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.1)
                 for part in small_batches(batch, 2 << 20):
                     bad = {r for r, _, _ in find_in_texts(index, part.column(part.num_columns - 1), rolling)}
                     keep = pa.array([n not in bad for n in range(part.num_rows)], pa.bool_())
-                    yield pa.RecordBatch.from_arrays(part.filter(keep).columns[:-1], documents.columns)
+                    yield pa.RecordBatch.from_arrays(part.filter(keep).columns[:-1], names)
 
         compared = documents.select("*", plain("text").alias("compared_text"))
-        documents = compared.mapInArrow(run, documents.schema)
+        documents = compared.mapInArrow(run, schema)
     return documents

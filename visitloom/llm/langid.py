@@ -179,6 +179,7 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
 def identified(documents: DataFrame, model: LanguageModel, least: float = 0.3) -> DataFrame:
     """The documents, with all their columns, whose language is known with at least this score."""
+    names_kept = documents.columns
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +190,7 @@ def identified(documents: DataFrame, model: LanguageModel, least: float = 0.3) -
                 names, score = predict(sent.value, texts, is_letter)
                 keep = [n != UNKNOWN and s >= least for n, s in zip(names, score)]
                 left = part.filter(pa.array(keep, pa.bool_()))
-                yield pa.RecordBatch.from_arrays(left.columns[:-1], documents.columns)
+                yield pa.RecordBatch.from_arrays(left.columns[:-1], names_kept)
 
     judged = documents.select("*", F.coalesce("text", F.lit("")).alias("judged_text"))
     return judged.mapInArrow(run, documents.schema)

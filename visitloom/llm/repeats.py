@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitloom.llm.common import NULL_ID, Rolling, checkpointed, mixed, sliding_min, small_batches, text_buffer
@@ -15,6 +16,9 @@ from visitloom.llm.common import NULL_ID, Rolling, checkpointed, mixed, sliding_
 ANCHOR = 16
 #: Bytes of anchor hashes that are kept; passages are compared byte by byte later.
 KEPT = 6
+#: Bytes of texts looked at together, and of runs sorted together.
+BATCH = 3 << 20
+SORTED = 1 << 20
 
 
 def anchors(column: pa.Array, length: int, rolling: Rolling) -> tuple[np.ndarray, ...]:
@@ -44,13 +48,37 @@ def unpacked(blob: bytes) -> np.ndarray:
     return whole.view("<u8").reshape(-1)
 
 
-def by_owner(ids: np.ndarray, hashes: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """The ids once each, and their hashes packed."""
-    order = np.argsort(ids, kind="stable")
-    ids, hashes = ids[order], hashes[order]
-    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
-    blob, ends = packed(hashes), np.r_[first[1:], len(ids)] if len(ids) else first
-    return pa.array(ids[first], pa.int64()), pa.array([blob[a * KEPT : b * KEPT] for a, b in zip(first, ends)], pa.binary())
+def squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, compressed."""
+    return zlib.compress(values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def spread(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+
+
+def heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a new combination of values begins in sorted columns."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def by_bucket(values: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the values by bucket, and each bucket with where it begins and ends there."""
+    bucket = (mixed(values.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = [*heads(bucket[order]).tolist(), len(order)]
+    return order, [(int(bucket[order[a]]), a, b) for a, b in zip(cuts, cuts[1:])]
+
+
+def table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -59,79 +87,73 @@ def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     What a batch of texts shares is known in the batch; of each hash it passes on one owner only, so
     a hash that a third of all texts have comes once from each batch.
     """
+    names = ["bucket", "known", "ids", "counts", "hashes"]
+    kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+
+    def rows(known: bool, owner: np.ndarray, hashes: np.ndarray) -> list[tuple]:
+        order, found = by_bucket(hashes, buckets)
+        out = []
+        for bucket, a, b in found:
+            part = order[a:b]
+            part = part[np.argsort(owner[part], kind="stable")]
+            ids, counts = np.unique(owner[part], return_counts=True)
+            out.append((bucket, known, squeezed(ids), squeezed(counts), packed(hashes[part])))
+        return out
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch in batches:
-            for part in small_batches(batch):
-                ids = part.column(0).to_numpy()
+            for part in small_batches(batch, BATCH):
                 row, _, _, hashes, _, _ = anchors(part.column(2), length, rolling)
-                owner = ids[row]
+                owner = part.column(0).to_numpy()[row]
                 order = np.lexsort((owner, hashes))
                 hashes, owner = hashes[order], owner[order]
-                if not len(hashes):
-                    continue
-                first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
-                last = np.r_[first[1:], len(hashes)] - 1
-                known = np.repeat(owner[first] != owner[last], last - first + 1)
-                new = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])] & known
-                told_ids, told = by_owner(owner[new], hashes[new])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((mixed(told_ids.to_numpy().view(np.uint64)) % np.uint64(buckets)).astype(np.int64)),
-                        pa.array([True] * len(told)), pa.array([x.tobytes() for x in told_ids.to_numpy()], pa.binary()),
-                        pa.nulls(len(told), pa.binary()), told,
-                    ],
-                    ["bucket", "known", "ids", "owners", "hashes"],
-                )
-                hashes, owner = hashes[first], owner[first]
-                bucket = (mixed(hashes) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket, hashes, owner = bucket[order], hashes[order], owner[order]
-                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]).tolist() + [len(bucket)]
-                rows = []
-                for a, b in zip(cuts, cuts[1:]):
-                    used, place = np.unique(owner[a:b], return_inverse=True)
-                    rows.append((int(bucket[a]), False, used.tobytes(), place.astype("<u2").tobytes(), packed(hashes[a:b])))
-                kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "known", "ids", "owners", "hashes"]
-                )
+                first = heads(hashes)
+                size = np.diff(np.r_[first, len(hashes)])
+                known = np.repeat(owner[first] != owner[first + size - 1], size)
+                told = heads(hashes, owner)
+                told = told[known[told]]
+                yield table(rows(True, owner[told], hashes[told]) + rows(False, owner[first], hashes[first]), names, kinds)
 
     def meet(group: pa.Table) -> pa.Table:
         ids, hashes, known = [], [], []
         for row in group.to_pylist():
-            own, found = np.frombuffer(row["ids"], np.int64), unpacked(row["hashes"])
-            ids.append(np.repeat(own, len(found)) if row["known"] else own[np.frombuffer(row["owners"], "<u2")])
-            hashes.append(found)
-            known.append(np.full(len(found), row["known"]))
+            ids.append(np.repeat(spread(row["ids"]), spread(row["counts"])))
+            hashes.append(unpacked(row["hashes"]))
+            known.append(np.full(len(hashes[-1]), row["known"]))
         ids, hashes, known = np.concatenate(ids), np.concatenate(hashes), np.concatenate(known)
         told_ids, told = ids[known], hashes[known]
         ids, hashes = ids[~known], hashes[~known]
         order = np.lexsort((ids, hashes))
         ids, hashes = ids[order], hashes[order]
-        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(ids) else np.zeros(0, np.int64)
+        first = heads(hashes)
         size = np.diff(np.r_[first, len(ids)])
-        shared = np.repeat(ids[first] != ids[first + size - 1], size) if len(ids) else np.zeros(0, bool)
-        owner, found = by_owner(np.r_[told_ids, ids[shared]], np.r_[told, hashes[shared]])
-        return pa.table({"id": owner, "hashes": found})
-
-    sent = texts.mapInArrow(send, "bucket long, known boolean, ids binary, owners binary, hashes binary")
+        shared = np.repeat(ids[first] != ids[first + size - 1], size)
+        ids, hashes = np.r_[told_ids, ids[shared]], np.r_[told, hashes[shared]]
+        order = np.argsort(ids, kind="stable")
+        ids, blob = ids[order], packed(hashes[order])
+        first = heads(ids)
+        ends = np.r_[first, len(ids)][1:]
+        blobs = [blob[a * KEPT : b * KEPT] for a, b in zip(first, ends)]
+        return pa.table({"id": pa.array(ids[first], pa.int64()), "hashes": pa.array(blobs, pa.binary())})
+
+    sent = texts.mapInArrow(send, "bucket long, known boolean, ids binary, counts binary, hashes binary")
     return sent.groupBy("bucket").applyInArrow(meet, "id long, hashes binary")
 
 
-def passages(texts: DataFrame, length: int, distinct: bool) -> DataFrame:
-    """Runs of passages with a shared anchor in ``texts`` (id, unit, text, lists).
-
-    distinct: anchor, body, text of the run and the least and largest id that a task met it in;
-    otherwise each run: anchor, body, id, unit, start, run (number of starts). ``body`` is a hash
-    of the run's text.
+def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Runs of passages with a shared anchor in ``texts`` (id, unit, text, lists), by bucket of the
+    anchor: ids, units, starts and sizes (number of starts) of runs, and their texts one after the
+    other. Without texts (null) come the runs that are known to go: a text of a smaller id in the
+    same batch has an equal one.
     """
+    names = ["bucket", "ids", "units", "starts", "sizes", "bodies"]
+    kinds = [pa.int64(), *[pa.binary()] * 5]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
         for batch in batches:
-            for part in small_batches(batch):
+            for part in small_batches(batch, BATCH):
                 ids, units = part.column(0).to_numpy(), part.column(1).to_numpy()
                 row, at, size, hashes, data, offsets = anchors(part.column(2), length, rolling)
                 lists = [np.unique(np.concatenate([unpacked(x) for x in some])) for some in part.column(3).to_pylist()]
@@ -141,36 +163,27 @@ def passages(texts: DataFrame, length: int, distinct: bool) -> DataFrame:
                 )
                 row, at, size, hashes = row[keep], at[keep], size[keep], hashes[keep]
                 start = offsets[row] + at
-                end = start + size + length - 1
-                body = rolling.spans(rolling.prefix(data), start, end)
-                if not distinct:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(hashes.view(np.int64)), pa.array(body.view(np.int64)), pa.array(ids[row]),
-                            pa.array(units[row]), pa.array(at.astype(np.int64)), pa.array(size.astype(np.int64)),
-                        ],
-                        ["anchor", "body", "id", "unit", "start", "run"],
-                    )
-                    continue
+                body = rolling.spans(rolling.prefix(data), start, start + size + length - 1)
                 order = np.lexsort((ids[row], body, hashes))
-                row, hashes, body, start, end = row[order], hashes[order], body[order], start[order], end[order]
-                if not len(row):
-                    continue
-                first = np.flatnonzero(np.r_[True, (body[1:] != body[:-1]) | (hashes[1:] != hashes[:-1])])
-                last = np.r_[first[1:], len(row)] - 1
-                raw = data.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes[first].view(np.int64)), pa.array(body[first].view(np.int64)),
-                        pa.array([raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())], pa.binary()),
-                        pa.array(ids[row[first]]), pa.array(ids[row[last]]),
-                    ],
-                    ["anchor", "body", "bytes", "low", "high"],
-                )
-
-    schema = "anchor long, body long, bytes binary, low long, high long"
-    if not distinct:
-        schema = "anchor long, body long, id long, unit long, start long, run long"
+                first = heads(hashes[order], body[order])
+                least = np.repeat(ids[row[order[first]]], np.diff(np.r_[first, len(order)]))
+                known = np.zeros(len(order), bool)
+                known[order] = least < ids[row[order]]
+                raw, out = data.tobytes(), []
+                for is_known in (True, False):
+                    some = np.flatnonzero(known == is_known)
+                    order, found = by_bucket(hashes[some], buckets)
+                    for bucket, a, b in found:
+                        own = some[order[a:b]]
+                        bodies = None
+                        if not is_known:
+                            ends = (start[own] + size[own] + length - 1).tolist()
+                            bodies = zlib.compress(b"".join([raw[i:j] for i, j in zip(start[own].tolist(), ends)]), 1)
+                        numbers = (ids[row[own]], units[row[own]], at[own], size[own])
+                        out.append((bucket, *map(squeezed, numbers), bodies))
+                yield table(out, names, kinds)
+
+    schema = "bucket long, ids binary, units binary, starts binary, sizes binary, bodies binary"
     return texts.select("id", "unit", "text", "lists").mapInArrow(run, schema)
 
 
@@ -202,50 +215,93 @@ def earlier_factors(data: np.ndarray, starts: np.ndarray, order: np.ndarray, len
     return found
 
 
-def first_seen(distinct: DataFrame, length: int) -> DataFrame:
-    """anchor, body, low (least id) and runs: in the text of id ``low``, from which start to which
-    the passages also lie in a text of a smaller id. Runs that no other text has are left out."""
-
-    def find(rows: list[dict]) -> pa.RecordBatch:
-        # Tasks may have met the same run.
-        runs: dict[tuple, list] = {}
-        for r in rows:
-            held = runs.setdefault((r["anchor"], r["body"]), [r["bytes"], r["low"], r["high"]])
-            held[1], held[2] = min(held[1], r["low"]), max(held[2], r["high"])
-        bodies = [v[0] for v in runs.values()]
-        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
-        number = sizes - length + 1
-        begin = np.cumsum(sizes) - sizes
-        row = np.repeat(np.arange(len(bodies)), number)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
-        low = np.array([v[1] for v in runs.values()], np.int64)
-        found = earlier_factors(np.frombuffer(b"".join(bodies), np.uint8), begin[row] + at, low[row], length)
-        edge = np.flatnonzero(np.diff(np.r_[False, found]) | np.r_[True, row[1:] != row[:-1]])
-        edge = edge[found[edge]]
-        stop = np.flatnonzero(found & ~np.r_[found[1:] & (row[1:] == row[:-1]), False])
-        told: list[list] = [[] for _ in bodies]
-        for a, b in zip(edge.tolist(), stop.tolist()):
-            told[row[a]].append({"a": int(at[a]), "b": int(at[b])})
-        out = [(k[0], k[1], v[1], t) for (k, v), t in zip(runs.items(), told) if t or v[1] < v[2]]
-        kinds = [pa.int64()] * 3 + [pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))]
-        columns = list(zip(*out)) if out else [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "body", "low", "runs"])
-
-    def run(batches: Iterator[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-        rows, size, now = [], 0, None
-        for batch in batches:
-            for r in batch.to_pylist():
-                if size > limit and r["anchor"] != now:
-                    yield find(rows)
-                    rows, size = [], 0
-                now = r["anchor"]
-                rows.append(r)
-                size += len(r["bytes"])
-        if rows:
-            yield find(rows)
+def run_hashes(bodies: np.ndarray, sizes: np.ndarray, length: int, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
+    """Anchor and hash of each run, from their texts one after the other."""
+    bounds = np.r_[0, np.cumsum(sizes + length - 1)]
+    sums = rolling.prefix(bodies)
+    grams = sliding_min(rolling.grams(sums, ANCHOR) & np.uint64((1 << 8 * KEPT) - 1), length - ANCHOR + 1)
+    return grams[bounds[:-1]], rolling.spans(sums, bounds[:-1], bounds[1:])
+
 
-    dealt = distinct.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "anchor long, body long, low long, runs array<struct<a: long, b: long>>")
+def earlier_runs(
+    bodies: np.ndarray, sizes: np.ndarray, ids: np.ndarray, anchor: np.ndarray, hashes: np.ndarray, length: int
+) -> tuple[np.ndarray, ...]:
+    """Which starts of which runs go: number of the run, first and last start.
+
+    ``bodies``: the texts of all runs, one after the other; ``sizes``: their numbers of starts. Equal
+    texts are looked at once, with their least id; the others with one anchor are sorted together.
+    """
+    bounds = np.r_[0, np.cumsum(sizes + length - 1)]
+    order = np.lexsort((ids, hashes, anchor))
+    first = heads(anchor[order], hashes[order])
+    number = np.diff(np.r_[first, len(order)])
+    lead = order[first]
+    low = np.empty(len(ids), np.int64)
+    low[order] = np.repeat(ids[lead], number)
+    later = ids > low
+    runs, begins, stops = [np.flatnonzero(later)], [np.zeros(later.sum(), np.int64)], [sizes[later] - 1]
+    # Of the first ones, some starts may be in other texts of a smaller id.
+    weight = np.cumsum(sizes[lead] + length - 1)
+    part, cuts, base = heads(anchor[lead]).tolist() + [len(lead)], [0], 0
+    for a, b in zip(part, part[1:]):
+        if weight[b - 1] - base > SORTED:
+            cuts.append(b)
+            base = weight[b - 1]
+    if cuts[-1] != len(lead):
+        cuts.append(len(lead))
+    group = np.repeat(np.arange(len(lead)), number)
+    alike = {}
+    for a, b in zip(cuts, cuts[1:]):
+        some = lead[a:b]
+        spans = (sizes + length - 1)[some]
+        begin = np.cumsum(spans) - spans
+        take = np.repeat(bounds[some] - begin, spans) + np.arange(spans.sum())
+        owner = np.repeat(np.arange(len(some)), sizes[some])
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[some]) - sizes[some], sizes[some])
+        found = earlier_factors(bodies[take], begin[owner] + at, ids[some][owner], length)
+        edge = found & ~np.r_[False, found[:-1] & (owner[1:] == owner[:-1])]
+        stop = found & ~np.r_[found[1:] & (owner[1:] == owner[:-1]), False]
+        for n, x, y in zip((owner[edge] + a).tolist(), at[edge].tolist(), at[stop].tolist()):
+            alike.setdefault(n, []).append((x, y))
+    rest = order[~later[order]]
+    for r, n in zip(rest.tolist(), group[~later[order]].tolist()):
+        for x, y in alike.get(n, ()):
+            runs.append(np.array([r]))
+            begins.append(np.array([x]))
+            stops.append(np.array([y]))
+    return np.concatenate(runs), np.concatenate(begins), np.concatenate(stops)
+
+
+def removed_spans(runs: DataFrame, length: int) -> DataFrame:
+    """id and spans (unit, begin and end of bytes that go; packed) from what ``passages`` deals out."""
+
+    def find(group: pa.Table) -> pa.Table:
+        told: list[tuple[np.ndarray, ...]] = []
+        ids, units, starts, sizes, bodies, keys = ([] for _ in range(6))
+        rolling = Rolling()
+        for row in group.to_pylist():
+            i, u, at, n = (spread(row[c]) for c in ("ids", "units", "starts", "sizes"))
+            if row["bodies"] is None:
+                told.append((i, u, at, at + n - 1 + length))
+                continue
+            for kept, values in ((ids, i), (units, u), (starts, at), (sizes, n)):
+                kept.append(values)
+            bodies.append(np.frombuffer(zlib.decompress(row["bodies"]), np.uint8))
+            keys.append(run_hashes(bodies[-1], n, length, rolling))
+        if ids:
+            i, u, at, n = map(np.concatenate, (ids, units, starts, sizes))
+            anchor, hashes = (np.concatenate(k) for k in zip(*keys))
+            run, a, b = earlier_runs(np.concatenate(bodies), n, i, anchor, hashes, length)
+            told.append((i[run], u[run], at[run] + a, at[run] + b + length))
+        i, u, a, b = (np.concatenate(c) for c in zip(*told))
+        order = np.lexsort((a, i))
+        i, spans = i[order], np.stack([u[order], a[order], b[order]], axis=1)
+        first = heads(i)
+        ends = np.r_[first, len(i)][1:]
+        blobs = [squeezed(spans[x:y].T.reshape(-1)) for x, y in zip(first, ends)]
+        return pa.table({"id": pa.array(i[first], pa.int64()), "spans": pa.array(blobs, pa.binary())})
+
+    return runs.groupBy("bucket").applyInArrow(find, "id long, spans binary")
 
 
 def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
@@ -263,7 +319,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     A null text is empty; a text of fewer bytes stays whole. A null doc_id is larger than all others;
     documents of one doc_id take nothing from each other; other columns are dropped.
     """
-    buckets = 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("unit", F.xxhash64("text"))
@@ -282,44 +338,32 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         F.coalesce("short", F.lit("")).cast("binary").alias("kept"),
     )
     standing = named.where((F.col("id") == F.col("low")) & (F.col("n_bytes") >= length)).select("id", "unit").distinct()
+    # Texts of one id have numbers; there is hardly ever more than one.
+    standing = standing.select("id", F.col("unit").alias("own"), F.row_number().over(Window.partitionBy("id").orderBy("unit")).alias("number"))
     # The texts move once, by id; each use reads the same shuffle.
-    texts = docs.repartition("id").join(standing.withColumnRenamed("unit", "own"), "id").where("unit = own")
-    texts = texts.select("id", "unit", "text")
+    # Not as a second join key, which would move them once more.
+    own = F.col("unit").bitwiseXOR(F.col("own")) == 0
+    texts = docs.join(standing, "id").where(own)
+    texts = texts.select("id", F.col("number").cast("long").alias("unit"), "text")
     lists = shared_anchors(texts, length, buckets).groupBy("id").agg(F.collect_list("hashes").alias("lists"))
-    listed = texts.join(lists, "id")
-    seen = first_seen(passages(listed, length, True), length)
-    found = passages(listed, length, False).join(seen, ["anchor", "body"])
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("run") - 1).alias("b")))
-    spans = F.transform(
-        F.when(F.col("id") > F.col("low"), whole).otherwise(F.col("runs")),
-        lambda r: F.struct(
-            F.col("unit"), (F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + length).alias("b")
-        ),
-    )
-    spans = found.select("id", F.explode(spans).alias("span")).groupBy("id").agg(F.collect_list("span").alias("spans"))
+    spans = removed_spans(passages(texts.join(lists, "id"), length, 4 * buckets), length)
+    spans = spans.groupBy("id").agg(F.collect_list("spans").alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for id_, unit, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+            for id_, unit, text, blobs in zip(*(c.to_pylist() for c in batch.columns)):
                 raw, kept, at, n, removed = text.encode(), [], 0, 0, 0
-                for span in sorted((s["a"], s["b"]) for s in found or [] if s["unit"] == unit):
-                    if span[0] > at or not n:
-                        kept.append(raw[at : span[0]])
-                        n += 1
-                        removed -= span[0]
-                        removed += span[1]
-                        at = span[1]
-                    elif span[1] > at:
-                        removed += span[1] - at
-                        at = span[1]
+                found = np.concatenate([spread(x).reshape(3, -1).T for x in blobs] if blobs else [np.zeros((0, 3), np.int64)])
+                for a, b in sorted(map(tuple, found[found[:, 0] == unit, 1:].tolist())):
+                    if a > at or not n:
+                        kept.append(raw[at:a])
+                        n, removed, at = n + 1, removed + b - a, b
+                    elif b > at:
+                        removed, at = removed + b - at, b
                 kept.append(raw[at:])
                 out.append((id_, len(raw), removed, n, b"".join(kept)))
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            columns = list(zip(*out)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "n_bytes", "n_removed", "n_spans", "kept"]
-            )
+            yield table(out, ["id", "n_bytes", "n_removed", "n_spans", "kept"], [pa.int64()] * 4 + [pa.binary()])
 
     cut_texts = texts.join(spans, "id", "left").select("id", "unit", "text", "spans")
     rest = cut_texts.mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")

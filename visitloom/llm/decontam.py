@@ -37,7 +37,7 @@ class Index:
 
 def plain(text: str) -> Column:
     """Lower case, with each run of white space as one space."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\s ]+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\s\u00a0]+", " "))
 
 
 def edit_budget(size: int, rate: float, gram: int = GRAM) -> int:

@@ -319,7 +319,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     A null text is empty; a text of fewer bytes stays whole. A null doc_id is larger than all others;
     documents of one doc_id take nothing from each other; other columns are dropped.
     """
-    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("unit", F.xxhash64("text"))
@@ -346,7 +346,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     texts = docs.join(standing, "id").where(own)
     texts = texts.select("id", F.col("number").cast("long").alias("unit"), "text")
     lists = shared_anchors(texts, length, buckets).groupBy("id").agg(F.collect_list("hashes").alias("lists"))
-    spans = removed_spans(passages(texts.join(lists, "id"), length, 4 * buckets), length)
+    spans = removed_spans(passages(texts.join(lists, "id"), length, buckets), length)
     spans = spans.groupBy("id").agg(F.collect_list("spans").alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -89,7 +89,8 @@ def fit_languages(
     rows = labelled.where(F.col("lang").isNotNull()).select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
     sizes = rows.groupBy("lang").count().withColumnRenamed("count", "documents")
     drawn = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1_000_000))
-    sample = rows.join(sizes, "lang").where(drawn * F.col("documents") < F.lit(per_language) * 1_000_000)
+    # As many rows as the model has languages; so the texts stay where they are read.
+    sample = rows.join(F.broadcast(sizes), "lang").where(drawn * F.col("documents") < F.lit(per_language) * 1_000_000)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()

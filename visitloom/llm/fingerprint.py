@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 TOKEN = r"\S{1,8}"
 
 
+#: A k-mer is one number: its hash in the upper bits, its place in the text in these lower ones.
+PLACE_BITS = 24
+
+
 def order_minhash(rows: DataFrame, text: str, to: str, kmer: int = 3, bins: int = 64, taken: int = 2) -> DataFrame:
     """Adds ``to``: the Order MinHash of a text, an array of strings (bin and hash, in hex).
 
@@ -20,52 +24,52 @@ def order_minhash(rows: DataFrame, text: str, to: str, kmer: int = 3, bins: int
     """
     bits = bins.bit_length() - 1
     tokens, kmers, runs, numbered, least, firsts = (f"_{to}_{i}" for i in range(6))
-    bin_of = lambda h: F.shiftrightunsigned(h, 64 - bits) if bits else F.lit(0).cast("long")
+    places = F.lit((1 << PLACE_BITS) - 1).cast("long")
+    hash_of = lambda x: F.shiftright(x, PLACE_BITS)
+    bin_of = lambda x: F.shiftrightunsigned(x, 64 - bits) if bits else F.lit(0).cast("long")
+    placed = lambda h, at: F.shiftleft(h, PLACE_BITS).bitwiseOR(at.bitwiseAND(places))
+    at = lambda array, i: F.get(F.col(array), i)
     last = F.greatest(F.lit(1), F.size(tokens) - (kmer - 1))
     hashed = F.transform(
         F.sequence(F.lit(0), last - 1),
-        lambda i: F.struct(F.xxhash64(*(F.get(F.col(tokens), i + j) for j in range(kmer))).alias("h"), i.alias("at")),
+        lambda i: placed(F.xxhash64(*(at(tokens, i + j) for j in range(kmer))), i.cast("long")),
     )
-    no_kmers = F.array().cast("array<struct<h:bigint,at:int>>")
-    before = lambda array, i, n: F.get(F.col(array), i - n)
     starts = F.filter(
         F.sequence(F.lit(0), F.size(kmers) - 1),
-        lambda i: (i == 0) | (F.get(F.col(kmers), i - 1)["h"] != F.get(F.col(kmers), i)["h"]),
+        lambda i: (i == 0) | (hash_of(at(kmers, i - 1)) != hash_of(at(kmers, i))),
     )
+    number = lambda x, o: placed(F.xxhash64(hash_of(x), o), x)
     # Equal k-mers lie side by side in text order: the place in their run is the occurrence.
-    run = lambda s, n: F.slice(
-        F.col(kmers), s + 1, F.coalesce(F.get(F.col(runs), n + 1), F.size(kmers)) - s
-    )
-    occurrences = F.flatten(
-        F.transform(
-            runs,
-            lambda s, n: F.transform(run(s, n), lambda x, o: F.struct(F.xxhash64(x["h"], o).alias("h"), x["at"].alias("at"))),
-        )
-    )
-    signed = F.transform(occurrences, lambda x: F.struct(bin_of(x["h"]).alias("b"), x["h"].alias("h"), x["at"].alias("at")))
-    few = F.filter(
-        F.col(numbered), lambda x, i: (i < taken) | ~before(numbered, i, taken)["b"].eqNullSafe(x["b"])
-    )
+    run = lambda s, n: F.slice(F.col(kmers), s + 1, F.coalesce(at(runs, n + 1), F.size(kmers)) - s)
+    repeated = F.flatten(F.transform(runs, lambda s, n: F.transform(run(s, n), number)))
+    single = F.transform(kmers, lambda x: number(x, F.lit(0)))
+    occurrences = F.when(F.size(runs) == F.size(kmers), single).otherwise(repeated)
+    few = F.filter(F.col(numbered), lambda x, i: (i < taken) | (bin_of(at(numbered, i - taken)) != bin_of(x)))
     first = F.filter(
         F.sequence(F.lit(0), F.size(least) - 1),
-        lambda i: (i == 0) | ~F.get(F.col(least), i - 1)["b"].eqNullSafe(F.get(F.col(least), i)["b"]),
+        lambda i: (i == 0) | (bin_of(at(least, i - 1)) != bin_of(at(least, i))),
     )
 
     def tuple_of(i: Column) -> Column:
-        own = F.get(F.col(least), i)["b"]
-        of_bin = F.filter(F.slice(F.col(least), i + 1, taken), lambda x: x["b"] == own)
-        in_order = F.sort_array(F.transform(of_bin, lambda x: F.struct(x["at"].alias("at"), x["h"].alias("h"))))
-        digest = F.aggregate(in_order, F.lit(0).cast("long"), lambda whole, x: F.xxhash64(whole, x["h"]))
+        own = bin_of(at(least, i))
+        of_bin = F.filter(F.slice(F.col(least), i + 1, taken), lambda x: bin_of(x) == own)
+        # The place moves to the upper bits, so that sorting gives the text order.
+        moved = lambda x: F.shiftleft(x, 64 - PLACE_BITS).bitwiseOR(F.shiftrightunsigned(x, PLACE_BITS))
+        in_order = F.sort_array(F.transform(of_bin, moved))
+        digest = F.aggregate(
+            in_order, F.lit(0).cast("long"), lambda whole, x: F.xxhash64(whole, F.shiftleft(x, PLACE_BITS))
+        )
         return F.concat(F.lpad(F.lower(F.hex(own)), 2, "0"), F.right(F.lpad(F.lower(F.hex(digest)), 16, "0"), F.lit(8)))
 
     some = F.size(tokens) > 0
+    none = F.array()
     return (
         rows.withColumn(tokens, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)))
-        .withColumn(kmers, F.when(some, F.sort_array(hashed)).otherwise(no_kmers))
-        .withColumn(runs, F.when(some, starts).otherwise(F.array().cast("array<int>")))
-        .withColumn(numbered, F.sort_array(signed))
+        .withColumn(kmers, F.when(some, F.sort_array(hashed)).otherwise(none.cast("array<bigint>")))
+        .withColumn(runs, F.when(some, starts).otherwise(none.cast("array<int>")))
+        .withColumn(numbered, F.sort_array(occurrences))
         .withColumn(least, few)
-        .withColumn(firsts, F.when(some, first).otherwise(F.array().cast("array<int>")))
+        .withColumn(firsts, F.when(some, first).otherwise(none.cast("array<int>")))
         .withColumn(to, F.transform(firsts, tuple_of))
         .drop(tokens, kmers, runs, numbered, least, firsts)
     )

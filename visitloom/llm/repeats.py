@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitloom.llm.common import NULL_ID, Rolling, checkpointed, mixed, sliding_min, small_batches, text_buffer
 
@@ -82,7 +83,7 @@ def table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.R
 
 
 def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """id and hashes (packed) of the anchors that texts of at least two ids have.
+    """unit and hashes (packed) of the anchors that at least two of the ``texts`` (unit, text) have.
 
     What a batch of texts shares is known in the batch; of each hash it passes on one owner only, so
     a hash that a third of all texts have comes once from each batch.
@@ -104,7 +105,7 @@ def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
         rolling = Rolling()
         for batch in batches:
             for part in small_batches(batch, BATCH):
-                row, _, _, hashes, _, _ = anchors(part.column(2), length, rolling)
+                row, _, _, hashes, _, _ = anchors(part.column(1), length, rolling)
                 owner = part.column(0).to_numpy()[row]
                 order = np.lexsort((owner, hashes))
                 hashes, owner = hashes[order], owner[order]
@@ -135,10 +136,10 @@ def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
         first = heads(ids)
         ends = np.r_[first, len(ids)][1:]
         blobs = [blob[a * KEPT : b * KEPT] for a, b in zip(first, ends)]
-        return pa.table({"id": pa.array(ids[first], pa.int64()), "hashes": pa.array(blobs, pa.binary())})
+        return pa.table({"unit": pa.array(ids[first], pa.int64()), "hashes": pa.array(blobs, pa.binary())})
 
-    sent = texts.mapInArrow(send, "bucket long, known boolean, ids binary, counts binary, hashes binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "id long, hashes binary")
+    sent = texts.select("unit", "text").mapInArrow(send, "bucket long, known boolean, ids binary, counts binary, hashes binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "unit long, hashes binary")
 
 
 def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -273,7 +274,7 @@ def earlier_runs(
 
 
 def removed_spans(runs: DataFrame, length: int) -> DataFrame:
-    """id and spans (unit, begin and end of bytes that go; packed) from what ``passages`` deals out."""
+    """unit and spans (begin and end of bytes that go; packed) from what ``passages`` deals out."""
 
     def find(group: pa.Table) -> pa.Table:
         told: list[tuple[np.ndarray, ...]] = []
@@ -282,7 +283,7 @@ def removed_spans(runs: DataFrame, length: int) -> DataFrame:
         for row in group.to_pylist():
             i, u, at, n = (spread(row[c]) for c in ("ids", "units", "starts", "sizes"))
             if row["bodies"] is None:
-                told.append((i, u, at, at + n - 1 + length))
+                told.append((u, at, at + n - 1 + length))
                 continue
             for kept, values in ((ids, i), (units, u), (starts, at), (sizes, n)):
                 kept.append(values)
@@ -292,16 +293,16 @@ def removed_spans(runs: DataFrame, length: int) -> DataFrame:
             i, u, at, n = map(np.concatenate, (ids, units, starts, sizes))
             anchor, hashes = (np.concatenate(k) for k in zip(*keys))
             run, a, b = earlier_runs(np.concatenate(bodies), n, i, anchor, hashes, length)
-            told.append((i[run], u[run], at[run] + a, at[run] + b + length))
-        i, u, a, b = (np.concatenate(c) for c in zip(*told))
-        order = np.lexsort((a, i))
-        i, spans = i[order], np.stack([u[order], a[order], b[order]], axis=1)
-        first = heads(i)
-        ends = np.r_[first, len(i)][1:]
+            told.append((u[run], at[run] + a, at[run] + b + length))
+        u, a, b = (np.concatenate(c) for c in zip(*told))
+        order = np.lexsort((a, u))
+        u, spans = u[order], np.stack([a[order], b[order]], axis=1)
+        first = heads(u)
+        ends = np.r_[first, len(u)][1:]
         blobs = [squeezed(spans[x:y].T.reshape(-1)) for x, y in zip(first, ends)]
-        return pa.table({"id": pa.array(i[first], pa.int64()), "spans": pa.array(blobs, pa.binary())})
+        return pa.table({"unit": pa.array(u[first], pa.int64()), "spans": pa.array(blobs, pa.binary())})
 
-    return runs.groupBy("bucket").applyInArrow(find, "id long, spans binary")
+    return runs.groupBy("bucket").applyInArrow(find, "unit long, spans binary")
 
 
 def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
@@ -319,53 +320,77 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     A null text is empty; a text of fewer bytes stays whole. A null doc_id is larger than all others;
     documents of one doc_id take nothing from each other; other columns are dropped.
     """
+    left = _left(documents.select("doc_id", "text"), length)
+    doc_id = F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id")
+    return left.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def without_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
+    """The documents, a row for each with all its columns, without what ``remove_repeats`` removes.
+
+    Characters of which a byte goes, go whole.
+    """
+    left = _left(documents, length)
+    text = F.translate(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
+    columns = [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in documents.columns]
+    return left.select(*columns)
+
+
+def _left(documents: DataFrame, length: int) -> DataFrame:
+    """id (doc_id, or NULL_ID), row (other columns than text) and what is left of every text."""
     buckets = 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text")
-    ).withColumn("unit", F.xxhash64("text"))
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"),
+        F.struct(*(c for c in documents.columns if c != "text")).alias("row"),
+    ).withColumn("digest", F.unhex(F.sha2("text", 256)))
     short = F.octet_length("text") < length
     named = docs.select(
-        "id", "unit", F.unhex(F.sha2("text", 256)).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"),
+        "id", "row", "digest", F.octet_length("text").cast("long").alias("n_bytes"),
         F.when(short, F.col("text")).alias("short"),
     )
     first = named.groupBy("digest").agg(F.min("id").alias("low"))
-    named = checkpointed(named.join(first, "digest").drop("digest"))
+    named = checkpointed(named.join(first, "digest"))
     copies = named.where((F.col("id") > F.col("low")) | (F.col("n_bytes") < length))
     done = copies.select(
-        "id", "n_bytes",
+        "id", "row", "n_bytes",
         F.when(F.col("n_bytes") < length, 0).otherwise(F.col("n_bytes")).cast("long").alias("n_removed"),
         (F.col("n_bytes") >= length).cast("long").alias("n_spans"),
         F.coalesce("short", F.lit("")).cast("binary").alias("kept"),
     )
-    standing = named.where((F.col("id") == F.col("low")) & (F.col("n_bytes") >= length)).select("id", "unit").distinct()
-    # Texts of one id have numbers; there is hardly ever more than one.
-    standing = standing.select("id", F.col("unit").alias("own"), F.row_number().over(Window.partitionBy("id").orderBy("unit")).alias("number"))
-    # The texts move once, by id; each use reads the same shuffle.
-    # Not as a second join key, which would move them once more.
-    own = F.col("unit").bitwiseXOR(F.col("own")) == 0
-    texts = docs.join(standing, "id").where(own)
-    texts = texts.select("id", F.col("number").cast("long").alias("unit"), "text")
-    lists = shared_anchors(texts, length, buckets).groupBy("id").agg(F.collect_list("hashes").alias("lists"))
-    spans = removed_spans(passages(texts.join(lists, "id"), length, buckets), length)
-    spans = spans.groupBy("id").agg(F.collect_list("spans").alias("spans"))
+    # Each text has a number of its own, also where several have one id or none.
+    standing = named.where((F.col("id") == F.col("low")) & (F.col("n_bytes") >= length)).select("id", "digest").distinct()
+    standing = checkpointed(standing.withColumn("unit", F.monotonically_increasing_id()))
+    # The texts move once, by id and digest; each use reads the same shuffle. What is found out about
+    # a text goes there, so no task holds all texts of one id.
+    key = ["id", "digest"]
+    texts = docs.join(standing, key)
+
+    def told(found: DataFrame, column: str, name: str) -> DataFrame:
+        return found.join(standing, "unit").groupBy(*key).agg(F.collect_list(column).alias(name))
+
+    lists = told(shared_anchors(texts, length, buckets), "hashes", "lists")
+    spans = told(removed_spans(passages(texts.join(lists, key), length, buckets), length), "spans", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for id_, unit, text, blobs in zip(*(c.to_pylist() for c in batch.columns)):
+            for text, blobs in zip(*(c.to_pylist() for c in batch.columns[2:])):
                 raw, kept, at, n, removed = text.encode(), [], 0, 0, 0
-                found = np.concatenate([spread(x).reshape(3, -1).T for x in blobs] if blobs else [np.zeros((0, 3), np.int64)])
-                for a, b in sorted(map(tuple, found[found[:, 0] == unit, 1:].tolist())):
+                found = np.concatenate([spread(x).reshape(2, -1).T for x in blobs] if blobs else [np.zeros((0, 2), np.int64)])
+                for a, b in sorted(map(tuple, found.tolist())):
                     if a > at or not n:
                         kept.append(raw[at:a])
                         n, removed, at = n + 1, removed + b - a, b
                     elif b > at:
                         removed, at = removed + b - at, b
                 kept.append(raw[at:])
-                out.append((id_, len(raw), removed, n, b"".join(kept)))
-            yield table(out, ["id", "n_bytes", "n_removed", "n_spans", "kept"], [pa.int64()] * 4 + [pa.binary()])
-
-    cut_texts = texts.join(spans, "id", "left").select("id", "unit", "text", "spans")
-    rest = cut_texts.mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    all_rows = rest.unionByName(done)
-    return all_rows.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+                out.append((len(raw), removed, n, b"".join(kept)))
+            names = ["n_bytes", "n_removed", "n_spans", "kept"]
+            counted = table(out, names, [pa.int64()] * 3 + [pa.binary()])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *counted.columns], ["id", "row", *names])
+
+    cut_texts = texts.join(spans, key, "left").select("id", "row", "text", "spans")
+    kinds = T.StructType([cut_texts.schema["id"], cut_texts.schema["row"]])
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        kinds = kinds.add(name, T.LongType())
+    return cut_texts.mapInArrow(cut, kinds.add("kept", T.BinaryType())).unionByName(done)

@@ -305,6 +305,15 @@ def removed_spans(runs: DataFrame, length: int) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(find, "unit long, spans binary")
 
 
+def whole_characters(raw: bytes, begin: int, end: int) -> tuple[int, int]:
+    """The span, moved outwards to where characters of UTF-8 begin."""
+    while 0 < begin < len(raw) and raw[begin] & 0xC0 == 0x80:
+        begin -= 1
+    while end < len(raw) and raw[end] & 0xC0 == 0x80:
+        end += 1
+    return begin, end
+
+
 def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     """What is left of every text: doc_id, n_bytes, n_removed, n_spans, kept (bytes).
 
@@ -320,7 +329,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     A null text is empty; a text of fewer bytes stays whole. A null doc_id is larger than all others;
     documents of one doc_id take nothing from each other; other columns are dropped.
     """
-    left = _left(documents.select("doc_id", "text"), length)
+    left = _left(documents.select("doc_id", "text"), length, whole=False)
     doc_id = F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id")
     return left.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept")
 
@@ -330,13 +339,12 @@ def without_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
 
     Characters of which a byte goes, go whole.
     """
-    left = _left(documents, length)
-    text = F.translate(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    columns = [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in documents.columns]
+    left = _left(documents, length, whole=True)
+    columns = [F.col("kept").cast("string").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in documents.columns]
     return left.select(*columns)
 
 
-def _left(documents: DataFrame, length: int) -> DataFrame:
+def _left(documents: DataFrame, length: int, whole: bool) -> DataFrame:
     """id (doc_id, or NULL_ID), row (other columns than text) and what is left of every text."""
     buckets = 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = documents.select(
@@ -378,6 +386,8 @@ def _left(documents: DataFrame, length: int) -> DataFrame:
                 raw, kept, at, n, removed = text.encode(), [], 0, 0, 0
                 found = np.concatenate([spread(x).reshape(2, -1).T for x in blobs] if blobs else [np.zeros((0, 2), np.int64)])
                 for a, b in sorted(map(tuple, found.tolist())):
+                    if whole:
+                        a, b = whole_characters(raw, a, b)
                     if a > at or not n:
                         kept.append(raw[at:a])
                         n, removed, at = n + 1, removed + b - a, b

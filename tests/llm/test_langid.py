@@ -66,3 +66,24 @@ def test_grams_stay_in_words():
     one = langid.text_grams(["ab, cd"], is_letter)[0]
     two = langid.text_grams(["AB", "cd"], is_letter)[0]
     assert sorted(one) == sorted(two) and len(one) == 2 * (2 + 1)
+
+
+def test_language_of_many_different_grams_stays(spark):
+    """Words of a large alphabet, as in Chinese prose: many n-grams come once."""
+    rng = np.random.default_rng(4)
+    words = np.array(["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 2))) for _ in range(4000)])
+    often = 1 / np.arange(1, 4001)
+    texts = ["".join(rng.choice(words, 400, p=often / often.sum())) for _ in range(400)]
+    rows = [(n, t, "zh" if n % 4 else None) for n, t in enumerate(texts)]
+    rows += [(1000 + n, "the and that of this with a word " * 3, "en") for n in range(50)]
+    docs = spark.createDataFrame(rows + [(2000, "\u0436\u044b\u0448" * 90, None)], SCHEMA)
+    model = langid.fit_languages(docs)
+    kept = {r[0] for r in langid.identified(docs, model, langid.least_scores(docs, model)).select("doc_id").collect()}
+    assert len(kept) == 450 and 2000 not in kept
+
+
+def test_documents_pass_without_a_learned_language(spark):
+    docs = spark.createDataFrame([(1, "text", None), (2, "12", None), (3, None, None)], SCHEMA)
+    model = langid.fit_languages(docs)
+    kept = langid.identified(docs, model, langid.least_scores(docs, model))
+    assert [r[0] for r in kept.collect()] == [1]

@@ -75,22 +75,30 @@ def slots(grams: np.ndarray, size: int) -> list[np.ndarray]:
     return [((grams + np.uint64(i) * step) & np.uint64(size - 1)).astype(np.int64) for i in range(HASHES)]
 
 
+def labelled_sample(labelled: DataFrame, per_language: int) -> tuple[DataFrame, DataFrame]:
+    """lang and text of about ``per_language`` rows of each language; and all languages."""
+    rows = labelled.where(F.col("lang").isNotNull()).select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    sizes = rows.groupBy("lang").count().withColumnRenamed("count", "documents")
+    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1_000_000))
+    # As many rows as the model has languages; so the texts stay where they are read.
+    sample = rows.join(F.broadcast(sizes), "lang").where(drawn * F.col("documents") < F.lit(per_language) * 1_000_000)
+    return sample.select("lang", "text"), sizes
+
+
 def fit_languages(
-    labelled: DataFrame, per_language: int = 2000, grams: int = 6000, least: float = 2e-5, own: float = 0.2
+    labelled: DataFrame, per_language: int = 2000, grams: int = 6000, least: float = 2e-5, own: float = 0.2,
+    coverage: float = 0.8,
 ) -> LanguageModel:
     """A model from rows with doc_id, text and a non-null lang.
 
     The fit reads about ``per_language`` documents of each language, drawn by a hash of the id (all
     if there are fewer). A language's filter holds its ``grams`` most frequent n-grams among those
-    with a share of ``least`` of its n-grams, and of ``own`` times their share in any other language.
+    with a share of ``least`` of its n-grams, and of ``own`` times their share in any other language;
+    where these are less than ``coverage`` of its n-grams, as many more as reach that, or all.
     The model's size is bounded by these parameters and the number of languages. Without rows it
     knows no language. Null texts and ids are no different from empty texts and other ids.
     """
-    rows = labelled.where(F.col("lang").isNotNull()).select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
-    sizes = rows.groupBy("lang").count().withColumnRenamed("count", "documents")
-    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1_000_000))
-    # As many rows as the model has languages; so the texts stay where they are read.
-    sample = rows.join(F.broadcast(sizes), "lang").where(drawn * F.col("documents") < F.lit(per_language) * 1_000_000)
+    sample, sizes = labelled_sample(labelled, per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
@@ -105,17 +113,20 @@ def fit_languages(
                         ["lang", "gram", "n"],
                     )
 
-    counts = sample.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+    counts = sample.mapInArrow(count, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = counts.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
     most = shares.where(F.col("share") >= least).withColumn("most", F.max("share").over(Window.partitionBy("gram")))
-    ranked = most.where(F.col("share") >= own * F.col("most")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "gram"))
+    by_share = Window.partitionBy("lang").orderBy(F.desc("share"), "gram").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = most.where(F.col("share") >= own * F.col("most")).withColumns(
+        {"rank": F.count("*").over(by_share), "covered": F.sum("share").over(by_share)}
     )
-    chosen = ranked.where(F.col("rank") <= grams).select("lang", "gram").toPandas()
+    more = F.col("covered") - F.col("share") < coverage
+    chosen = ranked.where((F.col("rank") <= grams) | more).select("lang", "gram").toPandas()
     languages = sorted(r["lang"] for r in sizes.select("lang").collect())
-    size = 1 << max(12, (16 * grams - 1).bit_length())
+    largest = max([grams, *chosen["lang"].value_counts().tolist()])
+    size = 1 << max(12, (16 * largest - 1).bit_length())
     slices = np.zeros((-(-len(languages) // 64) or 1, size), np.uint64)
     for number, lang in enumerate(languages):
         own_grams = chosen.loc[chosen["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64)
@@ -178,18 +189,52 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
-def identified(documents: DataFrame, model: LanguageModel, least: float = 0.3) -> DataFrame:
-    """The documents, with all their columns, whose language is known with at least this score."""
+def least_scores(
+    labelled: DataFrame, model: LanguageModel, most: float = 0.3, low: float = 0.05, per_language: int = 2000
+) -> dict[str, float]:
+    """The score from which on a text is taken to be in a language, for each of the model.
+
+    Half of what the labelled documents of the language (the sample of the fit) reach but for the
+    share ``low`` of them, at most ``most``: languages differ in how many of their n-grams a filter holds.
+    """
+    sent = labelled.sparkSession.sparkContext.broadcast(model)
+    number = {lang: n for n, lang in enumerate(model.languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_letter = letters()
+        for batch in batches:
+            for part in small_batches(batch, 1 << 20):
+                found, owner, has_letter = text_grams(part.column(1).to_pylist(), is_letter)
+                shares = language_shares(sent.value, found, owner, part.num_rows)
+                own = shares[np.arange(part.num_rows), [number[lang] for lang in part.column(0).to_pylist()]]
+                told = pa.RecordBatch.from_arrays([part.column(0), pa.array(own)], ["lang", "own"])
+                yield told.filter(pa.array(has_letter))
+
+    sample, _ = labelled_sample(labelled, per_language)
+    reached = sample.mapInArrow(run, "lang string, own double").groupBy("lang").agg(F.percentile_approx("own", low).alias("low"))
+    return {lang: most for lang in model.languages} | {r["lang"]: min(most, r["low"] / 2) for r in reached.collect()}
+
+
+def identified(documents: DataFrame, model: LanguageModel, least: float | dict[str, float] = 0.3) -> DataFrame:
+    """The documents, with all their columns, whose language is known with at least this score (or
+    that of the language, see ``least_scores``). Where no language could be learned, all with letters.
+    """
     names_kept = documents.columns
     sent = documents.sparkSession.sparkContext.broadcast(model)
+    learned = bool(model.slices.any())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
         for batch in batches:
             for part in small_batches(batch, 1 << 20):
                 texts = part.column(part.num_columns - 1).to_pylist()
-                names, score = predict(sent.value, texts, is_letter)
-                keep = [n != UNKNOWN and s >= least for n, s in zip(names, score)]
+                if learned:
+                    names, score = predict(sent.value, texts, is_letter)
+                    keep = [
+                        n != UNKNOWN and s >= (least[n] if isinstance(least, dict) else least) for n, s in zip(names, score)
+                    ]
+                else:
+                    keep = text_grams(texts, is_letter)[2]
                 left = part.filter(pa.array(keep, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(left.columns[:-1], names_kept)
 

@@ -1,4 +1,4 @@
-"""Removal of repeated passages by longest-previous-factor arrays over suffix order."""
+"""Removal of repeated passages by suffix order to the depth of the threshold."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from visitloom.llm.common import NULL_ID, Rolling, checkpointed, mixed, sliding_
 
 #: Bytes of the anchor that stands for a passage: the one with the least hash among those inside.
 ANCHOR = 16
-#: Bytes of anchor hashes that are kept; passages are compared byte by byte later.
+#: Bytes of anchor hashes that are kept; later, equal runs go by a 64-bit hash, others by suffix order.
 KEPT = 6
 #: Bytes of texts looked at together, and of runs sorted together.
 BATCH = 3 << 20
@@ -85,8 +85,8 @@ def table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.R
 def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     """unit and hashes (packed) of the anchors that at least two of the ``texts`` (unit, text) have.
 
-    What a batch of texts shares is known in the batch; of each hash it passes on one owner only, so
-    a hash that a third of all texts have comes once from each batch.
+    What a batch of texts shares is known in the batch: such hashes come with each of their owners,
+    as known, and go on unsorted. One owner of each hash is sorted among those of other batches.
     """
     names = ["bucket", "known", "ids", "counts", "hashes"]
     kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]

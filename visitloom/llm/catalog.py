@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitloom.llm import chat, decontam, fingerprint, html_text, langid, near_dup, packing, repeats, token_counts, url_rules
+from visitloom.llm import (
+    chat, clustering, decontam, fingerprint, html_text, langid, license_scan, near_dup, packing, repeats, resampling,
+    token_counts, url_rules,
+)
 from visitloom.llm.common import small_arrow_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +131,113 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The reflected polynomial of CRC-32, the hash seed, the shares.
+ORACLE_SQL["op11_importance_resampling"] = r"""
+with crc_table as (
+  select list(list_reduce(range(8), lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, b) order by b) as t
+  from range(256) as bytes(b)
+), every_word as (
+  select 'd' as kind, doc_id,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+  from documents
+  union all
+  select 'b', null,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
+  from benchmark
+), hashed as (
+  select word, xor(4294967295, list_reduce(
+    list_transform(range(1, octet_length(encode(word)) + 1),
+      lambda i: cast(('0x' || substr(hex(encode(word)), 2 * i - 1, 2)) as bigint)),
+    lambda c, x: xor(c // 256, t[1 + xor(c % 256, x)]), 4294967295)) % 10000 as bucket
+  from (select distinct word from every_word), crc_table
+), placed as (
+  select kind, doc_id, bucket from every_word join hashed using (word)
+), per_bucket as (
+  select bucket, count(*) filter (where kind = 'd') as s, count(*) filter (where kind = 'b') as t from placed group by bucket
+), totals as (
+  select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from per_bucket
+), gain as (
+  select bucket, cast(floor(1000 * ln(cast(t + 1 as double) * cast(all_s + 10000 as double)
+    / (cast(s + 1 as double) * cast(all_t + 10000 as double)))) as bigint) as gain
+  from per_bucket, totals
+), weighed as (
+  select doc_id, count(bucket) as n_features, cast(coalesce(sum(gain), 0) as bigint) as weight
+  from (select doc_id from documents) as ids left join (select * from placed where kind = 'd') using (doc_id)
+    left join gain using (bucket)
+  group by doc_id
+), scored as (
+  select doc_id, n_features, weight, weight + cast(floor(-1000 * ln(-ln(
+    (cast(('0x' || substr(sha256('2024:' || doc_id), 1, 8)) as bigint) + 0.5::double) / 4294967296))) as bigint) as score
+  from weighed
+), fit as (
+  select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n
+  from scored where n_features >= 20
+)
+select doc_id, n_features, weight, score, case when rank <= n * 10 // 100 then rank end as rank
+from scored left join fit using (doc_id)
+"""
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    told = {name: F.array_join(name, ",") for name in ("base_labels", "labels")}
+    return found.withColumns(told).drop("expressions")
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered = clustering.cluster(table(spark, sf_dir, "embeddings"))
+    components = F.concat_ws(",", F.col("centroid").cast("array<string>"))
+    return clustered.withColumn("centroid_sha256", F.sha2(components, 256)).drop("centroid")
+
+
+def _clustering_sql(k: int = 16, rounds: int = 3) -> str:
+    steps = [f"""
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as (
+  select row_number() over (order by h) - 1 as cluster, v as c
+  from (select v, sha256('1:' || vec_id) as h from whole order by h limit {k})
+)"""]
+    nearest = """
+a{n} as (
+  select vec_id, v, unnest(best) from (
+    select vec_id, any_value(v) as v, min({{'distance': distance, 'cluster': cluster}}) as best
+    from (select vec_id, v, cluster, list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) as distance
+      from whole, c{n})
+    group by vec_id)
+)"""
+    moved = """
+c{next} as (
+  select cluster, coalesce(m, c) as c
+  from c{n} left join (
+    select cluster, list(cast((total - ((total % size) + size) % size) // size as bigint) order by i) as m
+    from (select cluster, i, sum(x) as total, count(*) as size
+      from (select cluster, unnest(v) as x, unnest(range(1, 65)) as i from a{n}) group by cluster, i)
+    group by cluster) using (cluster)
+)"""
+    for n in range(rounds):
+        steps += [nearest.format(n=n), moved.format(n=n, next=n + 1)]
+    steps.append(nearest.format(n=rounds))
+    return ",".join(steps) + f"""
+select vec_id, cast(cluster as integer) as cluster, cast(distance as bigint) as distance,
+  cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+  cast(sum(distance) over () as bigint) as inertia,
+  sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (cluster)
+"""
+
+
+ORACLE_SQL["op13_centroid_clustering"] = _clustering_sql()

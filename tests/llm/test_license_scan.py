@@ -1,0 +1,113 @@
+"""Licence scan: places by brute force, expressions by hand."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from visitloom.llm import catalog, license_scan
+from visitloom.llm.license_scan import evaluate
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+FOLD = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+SCHEMA = "doc_id long, text string"
+
+
+def brute(text, phrases):
+    words = WORD.findall((text or "").translate(FOLD))
+    found = []
+    for phrase, label in phrases.items():
+        size = len(phrase.split())
+        found += [(i, label) for i in range(len(words)) if words[i : i + size] == phrase.split()]
+    return len(words), found
+
+
+def check(told, rows):
+    assert len(told) == len(rows)
+    for row, (doc_id, text) in zip(told, rows):
+        n, base = brute(text, license_scan.BASE)
+        every = {label for _, label in base + brute(text, license_scan.PHRASES)[1]}
+        assert (row["doc_id"], row["n_words"], row["n_base"]) == (doc_id, n, len(base))
+        assert row["first_word"] == min((i for i, _ in base), default=None)
+        assert row["last_word"] == max((i for i, _ in base), default=None)
+        assert row["base_labels"] == sorted({label for _, label in base})
+        assert set(row["labels"]) >= every and row["labels"] == sorted(set(row["labels"]))
+        if not row["expressions"]:
+            assert set(row["labels"]) == every
+            assert row["score"] == max(map(license_scan.strictness, every), default=0)
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(4)
+    parts = ["CC", "by", "cc-by", "General Public", "license", "License,\nVersion 3", "all", "rights", "RESERVED", "é", "ccby", "lesser", "nc", "MIT"]
+    rows = [(n, rng.choice([" ", "\n", "--", "\x00"]).join(rng.choice(parts) for _ in range(rng.choice([1, 8, 90])))) for n in range(400)]
+    rows += [(None, "all rights reserved"), (5, None), (5, ""), (5, "cc by"), (5, "cc by"), (6, "cc"), (7, "by"), (8, "İcc by"), (9, "ＣＣ by")]
+    told = license_scan.scan_licenses(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
+    check(told, rows)
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").coalesce(1)
+    check(license_scan.scan_licenses(docs).collect(), [tuple(r) for r in docs.collect()])
+    told = catalog.QUERIES["op12_license_scan"](spark, "/root/testdata/sf0.001")
+    assert told.columns == ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+
+
+@pytest.mark.parametrize(
+    ("text", "labels", "strict"),
+    [
+        ("MIT", ("mit",), 0.2),
+        ("MIT OR GPL-3.0-only", ("mit", "gpl-3.0-only"), 0.2),
+        ("MIT AND GPL-3.0-only", ("mit", "gpl-3.0-only"), 0.6),
+        ("GPL-2.0+ and mit or apache-2.0", ("gpl-2.0+", "mit", "apache-2.0"), 0.2),
+        ("mit or gpl-2.0 and cc-by-nc-4.0", ("mit", "gpl-2.0", "cc-by-nc-4.0"), 0.2),
+        ("(mit or gpl-2.0) and cc-by-nc-4.0", ("mit", "gpl-2.0", "cc-by-nc-4.0"), 0.8),
+        ("GPL-2.0-only WITH Classpath-exception-2.0", ("gpl-2.0-only",), 0.4),
+        ("GPL-2.0-only WITH Classpath-exception-2.0 AND agpl-3.0", ("gpl-2.0-only", "agpl-3.0"), 0.6),
+        ("LicenseRef-own OR MPL-2.0.", ("licenseref-own", "mpl-2.0"), 0.4),
+        ("((MIT))", ("mit",), 0.2),
+        # What cannot go on ends the expression before it.
+        ("MIT and some prose", ("mit",), 0.2),
+        ("MIT OR (GPL-2.0 AND", ("mit",), 0.2),
+        ("MIT) OR GPL-2.0", ("mit",), 0.2),
+        ("MIT\nOR GPL-2.0", ("mit",), 0.2),
+        ("MIT WITH it", ("mit",), 0.2),
+        ("(MIT OR ISC) WITH llvm-exception", ("mit", "isc"), 0.2),
+        ("MIT ISC", ("mit",), 0.2),
+    ],
+)
+def test_expressions(text, labels, strict):
+    found = evaluate(text.encode(), 0, len(text))
+    assert (found.labels, found.strict) == (labels, strict)
+
+
+@pytest.mark.parametrize("text", ["", "OR MIT", "(MIT", "()", "unknown", "AND", "(" * 50])
+def test_no_expression(text):
+    assert evaluate(text.encode(), 0, len(text)) is None
+
+
+def test_tags(spark):
+    rows = [
+        (1, "# SPDX-License-Identifier: Apache-2.0 OR MIT\nx"), (2, "/* spdx-license-identifier: (GPL-2.0-only) */ all rights reserved"),
+        (3, "SPDX-License-Identifier MIT"), (4, "SPDX-License-Identifier:"), (5, '"license-expression": "ISC"'),
+        (6, "SPDX-License-Identifier: MIT\n" * 3000), (7, "MIT"), (8, "SPDX-License-Identifier: "), (9, "BSD-3-Clause"),
+    ]
+    told = {r["doc_id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert told[1]["labels"] == ["apache-2.0", "mit"] and told[1]["expressions"] == ["Apache-2.0 OR MIT"] and told[1]["score"] == 0.2
+    assert told[2]["labels"] == ["gpl-2.0-only", "reserved"] and told[2]["score"] == 1.0
+    assert told[5]["labels"] == ["isc"] and told[6]["labels"] == ["mit"] and len(told[6]["expressions"]) == 3000
+    assert all(not told[n]["labels"] and told[n]["score"] == 0 for n in (3, 4, 7, 8, 9))
+
+
+def test_long_expressions_take_time_in_proportion(spark):
+    many = " OR ".join(f"mit-{n}" for n in range(40_000))
+    found = evaluate(many.encode(), 0, len(many))
+    assert len(found.labels) == 40_000 and found.text == many
+
+
+def test_empty_table_and_other_columns(spark):
+    assert license_scan.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+    docs = spark.createDataFrame([(1, "cc by", 2, "x")], SCHEMA + ", n_words long, labels string")
+    assert license_scan.scan_licenses(docs).first()["labels"] == ["cc-by"]

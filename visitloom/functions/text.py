@@ -19,9 +19,8 @@ def explode_ids(df: DataFrame, column: str, out: str) -> DataFrame:
 
     Null lists give no row. Repeated numbers give repeated rows.
     """
-    items = df.where(F.col(column).isNotNull()).withColumn(
-        out, F.explode(F.split(F.col(column), ","))
-    )
+    some = F.filter(F.split(F.col(column), ","), lambda item: item != "")
+    items = df.where(F.col(column).isNotNull()).withColumn(out, F.explode(some))
     return items.withColumn(out, F.col(out).try_cast("bigint")).where(F.col(out).isNotNull())
 
 

@@ -19,8 +19,11 @@ def category_events(actions: DataFrame, *keep: str) -> DataFrame:
     ids = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
     has_any = " or ".join(f"{column} is not null" for column in ids.values())
     event = "struct('{}' as kind, {} as category_id)"
+    # A missing list has no items: a cast that fails costs far more than one that works.
+    none = "cast(array() as array<string>)"
     lists = ", ".join(
-        f"transform(split(coalesce({ids[kind]}, ''), ','), c -> {event.format(kind, 'try_cast(c as bigint)')})"
+        f"transform(if({ids[kind]} is null, {none}, filter(split({ids[kind]}, ','), c -> c <> '')), "
+        f"c -> {event.format(kind, 'try_cast(c as bigint)')})"
         for kind in ("order", "pay")
     )
     events = f"explode(concat(array({event.format('click', ids['click'])}), {lists})) as event"

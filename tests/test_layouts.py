@@ -1,0 +1,113 @@
+"""Stored layouts: row groups skipped by Bloom filters, no shuffle with buckets by session."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+
+from tests.helpers import action, plan_of, raw_actions, users
+from tests.test_plans import conf
+from visitloom.operators import categories, details, sessions, topn
+from visitloom.params import TaskParams
+from visitloom.sources.tables import scan_actions, scan_users, store_actions, store_actions_by_session
+
+FILES = 12
+
+
+def name(n: int) -> str:
+    """Ids without any order, as random ones are."""
+    return hashlib.md5(str(n).encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    rows = [
+        action(name(i % 600), f"2024-01-0{i % 3 + 1} 1:00:{i % 60:02d}", i % 7, click_category_id=i % 9 if i % 2 else None)
+        for i in range(3000)
+    ]
+    return raw_actions(spark, rows).cache()
+
+
+def scanned_rows(df) -> int:
+    """Rows that the scan handed on, after row groups were skipped."""
+    df.collect()
+    todo, found = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_filters_skip_row_groups_of_unordered_ids(spark, raw, tmp_path):
+    """100 ids, more than are pushed down as one filter each by least and largest value."""
+    plain, filtered = str(tmp_path / "plain"), str(tmp_path / "filtered")
+    store_actions(raw, filtered, FILES)
+    # As in large row groups, whose ids are too many for a dictionary.
+    dealt = raw.repartitionByRange(FILES, "date", "session_id", "action_time").write.partitionBy("date")
+    dealt.option("parquet.enable.dictionary#session_id", "false").parquet(plain)
+    missing = [f"{n:x}{name(n)[1:]}" for n in range(16)] + [name(n) for n in range(10_000, 10_084)]
+    chosen = missing + [name(5)]
+    read = {path: details.restrict_to_ids(scan_actions(spark.read.parquet(path)), chosen, True) for path in (plain, filtered)}
+    expected = sorted(map(tuple, raw.where(raw["session_id"].isin(chosen)).collect()))
+    columns = raw.columns
+    assert sorted(tuple(r[c] for c in columns) for r in read[filtered].collect()) == expected != []
+    assert spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold") == "10"
+    assert scanned_rows(read[filtered]) < 0.5 * scanned_rows(read[plain])
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, raw):
+    spark.sql("create database if not exists by_session")
+    store_actions_by_session(raw, "by_session.user_visit_action", 4)
+    yield spark.table("by_session.user_visit_action")
+    spark.sql("drop database by_session cascade")
+
+
+@pytest.fixture
+def people(spark):
+    return scan_users(users(spark, *((i, 20, "a", "x", "male") for i in range(5))))
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_every_bucket_has_one_file(bucketed):
+    assert len(bucketed.inputFiles()) == 4
+
+
+def test_nothing_keyed_by_session_is_shuffled(spark, raw, bucketed, people):
+    # Without broadcasts, as for tables of any size.
+    with conf(spark, **{"spark_sql_autoBroadcastJoinThreshold": "-1"}):
+        plain, stored = scan_actions(raw), scan_actions(bucketed)
+
+        def results(actions, by_session):
+            rolled = sessions.session_rollup(actions)
+            return {
+                "rollup": rolled,
+                "clicks": topn.session_category_clicks(actions),
+                "activity": categories.session_category_activity(actions, rolled),
+                "detail": details.session_detail_filtered(actions, rolled.where("step_length > 4"), by_session),
+            }
+
+        expected = results(plain, False)
+        for what, df in results(stored, True).items():
+            plan = plan_of(df)
+            assert "hashpartitioning(session_id" not in plan and "Exchange" not in plan, what
+            columns = expected[what].columns
+            assert rows(df.select(columns)) == rows(expected[what])
+
+
+def test_filtered_sessions_and_dates_of_the_bucketed_table(spark, raw, bucketed, people):
+    params = TaskParams(start_date="2024-01-02", keywords=None, category_ids=("4",))
+    told = [
+        rows(sessions.select_sessions(scan_actions(t, "2024-01-02"), people, params)) for t in (raw, bucketed)
+    ]
+    assert told[0] == told[1] != []

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitloom.operators.bounded import BROADCAST_ROWS, own_shuffle
 from visitloom.schemas import SESSION_DETAIL, shape_result
 
 
-def session_detail_filtered(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+def session_detail_filtered(
+    actions: DataFrame, sessions: DataFrame, by_session: bool = False
+) -> DataFrame:
     """Actions of the filtered sessions.
 
     A semi join: the session side is unique, and Spark may split the actions
-    of a skewed session over several tasks.
+    of a skewed session over several tasks. ``by_session``: the actions are stored in buckets by
+    session and the sessions were rolled up from them, so both lie where they are needed and
+    nothing is shuffled.
     """
-    return actions.join(own_shuffle(sessions.select("session_id")), "session_id", "left_semi")
+    ids = sessions.select("session_id")
+    return actions.join(ids if by_session else own_shuffle(ids), "session_id", "left_semi")
 
 
 def _ids(chosen: DataFrame, max_rows: int) -> DataFrame:
@@ -36,9 +43,22 @@ def detail_of_each(actions: DataFrame, chosen: DataFrame, max_rows: int) -> Data
     return actions.join(_ids(chosen, max_rows), "session_id")
 
 
-def restrict_to_ids(actions: DataFrame, ids: list[str]) -> DataFrame:
-    """Literal form of the restriction, which the parquet reader can skip row groups by."""
-    return actions.where(F.col("session_id").isin(*ids) if ids else F.lit(False))
+def restrict_to_ids(actions: DataFrame, ids: list[str], filtered: bool = False) -> DataFrame:
+    """Literal form of the restriction, which the parquet reader can skip row groups by.
+
+    Of more ids than a threshold Spark tells the reader only the least and the largest. ``filtered``:
+    the table has Bloom filters of session_id, as ``store_actions`` writes them; then all ids are
+    told, in groups within the threshold. Rows are still looked up in one set first.
+    """
+    session = F.col("session_id")
+    if not ids:
+        return actions.where(F.lit(False))
+    kept = actions.where(session.isin(*ids))
+    most = int(actions.sparkSession.conf.get("spark.sql.parquet.pushdown.inFilterThreshold", "10"))
+    if filtered and len(ids) > most > 0:
+        groups = [session.isin(*ids[i : i + most]) for i in range(0, len(ids), most)]
+        kept = kept.where(reduce(Column.__or__, groups))
+    return kept
 
 
 def shape_detail(detail: DataFrame, taskid: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -94,20 +94,63 @@ def scan_products(products: DataFrame) -> DataFrame:
     return products.select(*typed(products, PRODUCT_INFO), status.alias("product_status"))
 
 
-def store_actions(actions: DataFrame, path: str, partitions: int) -> None:
+def store_actions(actions: DataFrame, path: str, partitions: int, sessions_per_file: int = 1_000_000) -> None:
     """Store actions as parquet, one directory per date, rows of a session side by side.
 
     Scans then prune by date, a map task sees most actions of its sessions (so
     the roll-up shrinks before its shuffle), and detail reads skip row groups.
     Range partitioning by time as the last key splits a hot date or session. The dates in
     ``actions`` replace what is stored of them; other dates stay.
+
+    Every row group has a Bloom filter of its session ids, sized for at most ``sessions_per_file``
+    different ones: reads of chosen sessions skip row groups by it whatever the ids' number and
+    however the ids are spread, where the least and largest id of a row group tell nothing.
     """
     keys = ["date", "session_id", "action_time"]
-    (
+    writer = (
         actions.repartitionByRange(partitions, *keys)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
-        .parquet(path)
     )
+    with_session_filter(writer, sessions_per_file).parquet(path)
+
+
+def with_session_filter(writer: DataFrameWriter, sessions_per_file: int) -> DataFrameWriter:
+    """The parquet writer, told to store Bloom filters of session_id.
+
+    The filter takes the place of the column's dictionary, which the reader would consult instead.
+    It grows with the ids a row group really has, up to ``sessions_per_file``.
+    """
+    return (
+        writer.option("parquet.bloom.filter.enabled#session_id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("parquet.bloom.filter.expected.ndv#session_id", str(sessions_per_file))
+        .option("parquet.enable.dictionary#session_id", "false")
+    )
+
+
+def store_actions_by_session(
+    actions: DataFrame, table: str, buckets: int, path: str | None = None, sessions_per_file: int = 1_000_000
+) -> None:
+    """Store actions as a catalog table in ``buckets`` buckets by session, each sorted by session.
+
+    What is keyed by session then needs no shuffle of the actions: the roll-up, clicks per session
+    and joins of the table's own sessions run where the bucket is read. The price: a bucket is one
+    task, so choose as many buckets as make them fit, and :func:`store_actions` where single
+    sessions are huge. A table of that name is replaced; ``path`` puts the files elsewhere than the
+    catalog's own folder.
+
+    The actions are shuffled here once, to the very buckets, so each has one file.
+    """
+    writer = (
+        actions.repartition(buckets, "session_id")
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, "session_id")
+        .sortBy("session_id", "action_time")
+    )
+    if path is not None:
+        writer = writer.option("path", path)
+    with_session_filter(writer, sessions_per_file).saveAsTable(table)

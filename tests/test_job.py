@@ -5,12 +5,13 @@ from pathlib import Path
 import pytest
 
 from tests.helpers import action, raw_actions, users
+from visitloom.operators import days
 from visitloom.params import TaskParams
 from visitloom.plans import catalog, job
 from visitloom.schemas import RESULT_TABLES, TASK
-from visitloom.sinks import FileSink
+from visitloom.sinks import FileSink, SnapshotSink
 from visitloom.sources import star
-from visitloom.sources.tables import Tables
+from visitloom.sources.tables import Tables, scan_actions, store_actions
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -36,6 +37,52 @@ def test_job_writes_the_same_as_the_queries(spark, tmp_path):
     assert rows(sink.read(spark, "session_detail")) == rows(details)
 
 
+@pytest.mark.parametrize("stop", [None, *RESULT_TABLES])
+def test_job_that_stops_leaves_the_old_snapshot(spark, tmp_path, monkeypatch, stop):
+    people = users(spark, (1, 20, "a", "x", "male"))
+
+    def run(sink, *names):
+        acts = [action(n, click_category_id=5) for n in names]
+        job.run(spark, Tables(raw_actions(spark, acts), people), 3, sink, TaskParams())
+
+    run(SnapshotSink(str(tmp_path)), "a")
+    later, write = SnapshotSink(str(tmp_path)), SnapshotSink.write
+
+    def stopping(self, table, result, taskid):
+        write(self, table, result, taskid)
+        if table == stop:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(SnapshotSink, "write", stopping)
+    if stop:
+        with pytest.raises(RuntimeError):
+            run(later, "b", "c")
+    else:
+        run(later, "b", "c")
+    found = later.snapshot(spark, 3)
+    assert {t: found[t].schema for t in found} == RESULT_TABLES
+    names = ["a"] if stop else ["b", "c"]
+    assert found["session_aggr_stat"].first()["session_count"] == len(names)
+    assert sorted(r["sessionid"] for r in found["top10_session"].collect()) == names
+    assert {r["sessionid"] for r in found["session_detail"].collect()} == set(names)
+
+
+def test_job_from_states_of_days(spark, tmp_path):
+    """Sessions from the days' states, details by Bloom filters: the same results."""
+    tables, found = star.tables(spark, SMALL), []
+    path = str(tmp_path / "states")
+    acts = scan_actions(tables.actions)
+    days.add_days(acts, path, [f"2024-01-{n:02d}" for n in range(1, 31)], 2)
+    store_actions(tables.actions, str(tmp_path / "actions"), 4)
+    kept = Tables(spark.read.parquet(str(tmp_path / "actions")), tables.users, tables.tasks, days.scan_days(spark, path))
+    params = TaskParams(start_date="2024-01-03", end_date="2024-01-28", start_age=10, end_age=50, category_ids=("3", "26", "5"))
+    for given, settings in ((tables, job.Settings(seed=1)), (kept, job.Settings(seed=1, session_filters=True))):
+        sink = SnapshotSink(str(tmp_path / f"out{len(found)}"))
+        job.run(spark, given, 1, sink, params, settings)
+        found.append({t: rows(df) for t, df in sink.snapshot(spark, 1).items()})
+    assert found[0] == found[1] and found[0]["top10_session"]
+
+
 def test_job_reads_its_parameters_from_the_task(spark, tmp_path):
     document = '{"startDate":["2024-01-02"],"sex":["male"]}'
     task = spark.createDataFrame([(7, "t", None, None, None, "s", "n", document)], TASK)

@@ -3,8 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter
 
-from visitloom.schemas import TOP10_SESSION
-from visitloom.sinks import FileSink, JdbcSink, TableSink
+from visitloom.schemas import RESULT_TABLES, TOP10_CATEGORY, TOP10_SESSION
+from visitloom.sinks import FileSink, JdbcSink, SnapshotSink, TableSink, TransactionSink
 
 
 def result(spark, taskid, *names):
@@ -82,3 +82,122 @@ def test_jdbc_sink_does_not_merge_the_tasks_that_make_the_rows(spark, calls, mon
     JdbcSink("jdbc:x:y", connections=2).write("top10_session", result(spark, 1, "a"), 1)
     plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition 2, true" in plan
+
+
+def ranked(spark, taskid, *ids):
+    return spark.createDataFrame([(taskid, i, 1, 1, 1) for i in ids], TOP10_CATEGORY)
+
+
+def shown(sink, spark, taskid):
+    return {t: sorted(r[1] for r in df.collect()) for t, df in sink.snapshot(spark, taskid).items()}
+
+
+def test_snapshot_shows_all_old_or_all_new_results(spark, tmp_path):
+    root = str(tmp_path / "results")
+    reader = SnapshotSink(root)
+    assert set(reader.snapshot(spark, 1)) == set(RESULT_TABLES)
+    assert reader.read(spark, "top10_session", 1).count() == 0
+    first = SnapshotSink(root)
+    first.write("top10_category", ranked(spark, 1, 1, 2), 1)
+    assert shown(reader, spark, 1) == {t: [] for t in RESULT_TABLES}
+    first.write("top10_session", result(spark, 1, "a"), 1)
+    first.publish(spark, 1)
+    old = {"top10_category": [1, 2], "top10_session": [1]}
+    assert shown(reader, spark, 1) == old
+    opened = reader.snapshot(spark, 1)
+    second = SnapshotSink(root)
+    for table, rows in (("top10_category", ranked(spark, 1, 9)), ("top10_session", result(spark, 1))):
+        second.write(table, rows, 1)
+        # A job that stops here has changed nothing.
+        assert shown(reader, spark, 1) == old and shown(reader, spark, 2) == {t: [] for t in RESULT_TABLES}
+    second.publish(spark, 1)
+    assert shown(reader, spark, 1) == {"top10_category": [9], "top10_session": []}
+    # Who has opened the old results still reads all of them.
+    assert {t: sorted(r[1] for r in df.collect()) for t, df in opened.items()} == old
+    other = SnapshotSink(root)
+    other.write("top10_session", result(spark, 2, "z"), 2)
+    other.publish(spark, 2)
+    left_behind = SnapshotSink(root)
+    left_behind.write("top10_session", result(spark, 1, "never shown"), 1)
+    assert SnapshotSink(root).prune(spark) == sorted([first.run, left_behind.run])
+    assert shown(reader, spark, 1)["top10_category"] == [9] and shown(reader, spark, 2) == {"top10_session": [1]}
+
+
+def test_snapshot_switches_in_one_step(spark, tmp_path, monkeypatch):
+    """A stop while the pointer is written aside leaves the old results."""
+    sink = SnapshotSink(str(tmp_path))
+    sink.write("top10_session", result(spark, 1, "a"), 1)
+    sink.publish(spark, 1)
+    from visitloom import sinks
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(sinks._Files, "replace", stop)
+    again = SnapshotSink(str(tmp_path))
+    again.write("top10_session", result(spark, 1, "b", "c"), 1)
+    with pytest.raises(RuntimeError):
+        again.publish(spark, 1)
+    assert [r["sessionid"] for r in sink.read(spark, "top10_session", 1).collect()] == ["a"]
+
+
+class Connection:
+    """Notes what a database would be told; stops at a statement that has ``stop`` in it."""
+
+    def __init__(self, stop=None):
+        self.told, self.stop = [], stop
+
+    def createStatement(self):  # noqa: N802
+        return self
+
+    def executeUpdate(self, statement):  # noqa: N802
+        if self.stop and self.stop in statement:
+            raise RuntimeError("lost")
+        self.told.append(statement)
+
+    def setAutoCommit(self, on):  # noqa: N802
+        self.told.append(f"autocommit {on}")
+
+    def commit(self):
+        self.told.append("commit")
+
+    def rollback(self):
+        self.told.append("rollback")
+
+    def close(self):
+        pass
+
+
+@pytest.mark.parametrize("stop", [None, "insert into top10_session"])
+def test_transaction_sink_replaces_a_task_in_one_transaction(spark, calls, monkeypatch, stop):
+    """The calls only: no database may be started here."""
+    connection = Connection(stop)
+    monkeypatch.setattr(TransactionSink, "_connect", lambda self, spark: connection)
+    sink = TransactionSink("jdbc:x:y", {"user": "u"}, batch_size=50, connections=2)
+    sink.write("top10_category", ranked(spark, 4, 1), 4)
+    sink.write("top10_session", result(spark, 4, "a"), 4)
+    options = {"user": "u", "batchsize": "50"}
+    assert calls == [("write", "jdbc:x:y", f"top10_{t}_stage_4", "overwrite", options, 2) for t in ("category", "session")]
+    assert connection.told == []
+    category = [
+        "autocommit False",
+        "delete from top10_category where taskid = 4",
+        "insert into top10_category (taskid, categoryid, click_count, order_count, pay_count) "
+        "select taskid, categoryid, click_count, order_count, pay_count from top10_category_stage_4",
+        "delete from top10_session where taskid = 4",
+    ]
+    if stop:
+        with pytest.raises(RuntimeError):
+            sink.publish(spark, 4)
+        assert connection.told == [*category, "rollback"]
+    else:
+        sink.publish(spark, 4)
+        assert connection.told == [
+            *category,
+            "insert into top10_session (taskid, categoryid, sessionid, click_count) "
+            "select taskid, categoryid, sessionid, click_count from top10_session_stage_4",
+            "commit",
+            "drop table top10_category_stage_4",
+            "drop table top10_session_stage_4",
+            "commit",
+        ]

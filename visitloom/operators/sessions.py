@@ -31,7 +31,7 @@ def session_rollup(actions: DataFrame, params: TaskParams = NO_FILTER) -> DataFr
     ]
     for flag, match in (
         ("keyword_hit", one_of(F.col("search_keyword"), params.keywords)),
-        ("category_hit", one_of(F.col("click_category_id"), _ids(params.category_ids))),
+        ("category_hit", one_of(F.col("click_category_id"), category_numbers(params.category_ids))),
     ):
         if match is not None:
             measures.append(F.bool_or(match).alias(flag))
@@ -44,7 +44,7 @@ def session_rollup(actions: DataFrame, params: TaskParams = NO_FILTER) -> DataFr
 BIGINT = range(-(2**63), 2**63)
 
 
-def _ids(texts: tuple[str, ...] | None) -> tuple[int, ...] | None:
+def category_numbers(texts: tuple[str, ...] | None) -> tuple[int, ...] | None:
     """Category ids as numbers; text that is not how a bigint is written matches none."""
     if texts is None:
         return None
@@ -52,7 +52,7 @@ def _ids(texts: tuple[str, ...] | None) -> tuple[int, ...] | None:
     return tuple(i for i in ids if i in BIGINT)
 
 
-def _list_texts() -> list[Column]:
+def list_texts() -> list[Column]:
     """The lists of a session, from its actions counted by distinct (keyword, category).
 
     A buffer grows with the distinct values of a session; repeats are written out in the text only.
@@ -84,7 +84,7 @@ def session_lists(actions: DataFrame) -> DataFrame:
     beyond what Spark can hold in one, the query fails. :func:`session_list_entries` has no cells.
     """
     some = actions.where("nullif(search_keyword, '') is not null or click_category_id is not null")
-    return _counted(some, ["session_id"]).groupBy("session_id").agg(*_list_texts())
+    return _counted(some, ["session_id"]).groupBy("session_id").agg(*list_texts())
 
 
 def session_list_entries(actions: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def session_records(actions: DataFrame) -> DataFrame:
         F.min("first_ts").alias("start_time"),
         F.max("last_ts").alias("end_time"),
         F.sum("n").alias("step_length"),
-        *_list_texts(),
+        *list_texts(),
     )
     return records.withColumn(
         "visit_length", F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
@@ -129,7 +129,7 @@ def lists_of_few(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFr
     sized = F.broadcast(chosen) if max_rows <= BROADCAST_ROWS else own_shuffle(chosen)
     narrow = actions.select("session_id", "search_keyword", "click_category_id")
     counted = _counted(narrow.join(sized, "session_id"), chosen.columns)
-    return counted.groupBy(*chosen.columns).agg(*_list_texts())
+    return counted.groupBy(*chosen.columns).agg(*list_texts())
 
 
 def session_keywords(actions: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from visitloom.functions import text, times
 from visitloom.functions.predicates import equal
-from visitloom.operators import categories, details, sampling, sessions, stats, topn
+from visitloom.operators import categories, days, details, sampling, sessions, stats, topn
 from visitloom.params import TaskParams
 from visitloom.schemas import TIME_FORMAT, USER_VISIT_ACTION
 from visitloom.sources import star
@@ -164,6 +164,41 @@ def session_detail_filtered(spark, sf_dir):
     return kept.select(*USER_VISIT_ACTION.fieldNames())
 
 
+# --- sessions from states of each day -------------------------------------------------
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return days.day_states(_actions(spark, sf_dir))
+
+
+@_query
+def session_day_states(spark, sf_dir):
+    states = _with_text_times(_days(spark, sf_dir), "first_ts", "last_ts")
+    clicks = F.expr("array_join(transform(clicks, c -> concat(c.category, ':', c.n)), ',')")
+    return states.withColumns({"keywords": F.array_join("keywords", ","), "clicks": clicks})
+
+
+@_query
+def session_rollup_of_days(spark, sf_dir):
+    some = days.days_between(_days(spark, sf_dir), *DATES.values())
+    return _with_text_times(days.rollup_of_days(some), "start_time", "end_time")
+
+
+@_query
+def filter_sessions_of_days(spark, sf_dir):
+    params = TaskParams.from_values({**DATES, **AGES, **KEYWORDS, **CATEGORIES})
+    some = days.days_between(_days(spark, sf_dir), params.start_date, params.end_date)
+    full = sessions.session_full_info(days.rollup_of_days(some, params), _users(spark, sf_dir))
+    return _with_text_times(sessions.filter_sessions(full, params), "start_time", "end_time")
+
+
+@_query
+def session_records_of_months(spark, sf_dir):
+    months = days.merged_states(_days(spark, sf_dir), F.substring("date", 1, 7))
+    full = sessions.session_full_info(days.records_of_days(months), _users(spark, sf_dir))
+    return _with_text_times(full, "start_time", "end_time")
+
+
 # --- statistics ---------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitloom.operators import categories, details, sampling, sessions, stats, topn
+from visitloom.operators import categories, days, details, sampling, sessions, stats, topn
 from visitloom.params import TaskParams
 from visitloom.sinks import Sink
 from visitloom.sources.tables import Tables, scan_actions, scan_users
@@ -53,6 +53,7 @@ class Settings:
     top_sessions: int = topn.TOP_SESSIONS
     seed: int | str | None = None  # None: drawn once per run
     checkpoint_dir: str | None = None  # used only where spark.checkpoint.dir is unset
+    session_filters: bool = False  # the actions are stored with Bloom filters of session_id
 
 
 def run(
@@ -63,14 +64,15 @@ def run(
     params: TaskParams | None = None,
     settings: Settings = Settings(),
 ) -> None:
-    """Compute the five results of a task, then write each of them once.
+    """Compute the five results of a task, write each of them once, then publish them.
 
     All results are stages before the first is written, so a failure while computing leaves the
-    results of earlier runs as they were.
+    results of earlier runs as they were; so does one while writing if the sink publishes in one step.
 
     The actions are read four times: once each for sessions, category activity
     and the lists of the drawn sessions, with few columns; and once in full
-    width for the chosen sessions only. They are shuffled in the first two.
+    width for the chosen sessions only. They are shuffled in the first two. Where ``tables`` have
+    the states of the days, sessions come from these instead of the actions.
     """
     if params is None:
         if tables.tasks is None:
@@ -85,9 +87,15 @@ def run(
 
     actions = scan_actions(tables.actions, params.start_date, params.end_date)
 
+    if tables.days is None:
+        rolled = sessions.session_rollup(actions, params)
+    else:
+        some = days.days_between(tables.days, params.start_date, params.end_date)
+        rolled = days.rollup_of_days(some, params)
+    full = sessions.session_full_info(rolled, scan_users(tables.users))
     selected = stages.store(
         "sessions",
-        sessions.select_sessions(actions, scan_users(tables.users), params).select(
+        sessions.filter_sessions(full, params).select(
             "session_id", "start_time", "visit_length", "step_length"
         ),
     )
@@ -115,7 +123,7 @@ def run(
     keep("top10_session", topn.top10_session(busiest, taskid))
 
     extract = sampling.session_random_extract(
-        _near(actions, drawn, settings.extract_total), drawn, taskid, settings.extract_total
+        _near(actions, drawn, settings.extract_total, settings.session_filters), drawn, taskid, settings.extract_total
     )
     keep("session_random_extract", extract)
 
@@ -123,15 +131,17 @@ def run(
     # comes out once if it was drawn, and once more per top list it is in.
     chosen = drawn.select("session_id").distinct().union(busiest.select("session_id"))
     chosen_rows = settings.extract_total + settings.top_categories * settings.top_sessions
-    detail = details.detail_of_each(_near(actions, chosen, chosen_rows), chosen, chosen_rows)
+    near = _near(actions, chosen, chosen_rows, settings.session_filters)
+    detail = details.detail_of_each(near, chosen, chosen_rows)
     keep("session_detail", details.shape_detail(detail, taskid))
 
     for table, result in results.items():
         sink.write(table, result, taskid)
+    sink.publish(spark, taskid)
     stages.delete()
 
 
-def _near(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFrame:
+def _near(actions: DataFrame, chosen: DataFrame, max_rows: int, filtered: bool) -> DataFrame:
     """Narrow the scan by the chosen ids themselves where their number is small.
 
     The join that follows is exact by itself; this only lets the reader skip.
@@ -139,4 +149,4 @@ def _near(actions: DataFrame, chosen: DataFrame, max_rows: int) -> DataFrame:
     if max_rows > LITERAL_IDS:
         return actions
     ids = [row["session_id"] for row in chosen.select("session_id").distinct().collect()]
-    return details.restrict_to_ids(actions, ids)
+    return details.restrict_to_ids(actions, ids, filtered)

@@ -284,6 +284,24 @@ ORACLE_SQL: dict[str, str] = {
         select session_id, 'category', cast(click_category_id as varchar), count(*)
         from actions where click_category_id is not null group by all"""),
     "session_full_info": _sql(f"select {SESSION_COLUMNS}, {USER_COLUMNS}, {LISTS} from chosen"),
+    "session_day_states": _sql(f"""
+        select date, session_id, min(user_id) as user_id, strftime(min(action_ts), '{STAMP}') as first_ts,
+            strftime(max(action_ts), '{STAMP}') as last_ts, count(*) as steps,
+            coalesce(string_agg(distinct search_keyword, ',' order by search_keyword), '') as keywords,
+            coalesce(any_value(clicks), '') as clicks
+        from actions left join (
+            select date, session_id, string_agg(category || ':' || n, ',' order by category) as clicks
+            from (select date, session_id, click_category_id as category, count(*) as n
+                from actions where click_category_id is not null group by all)
+            group by all) using (date, session_id)
+        group by date, session_id"""),
+    "session_rollup_of_days": _sql(f"select {SESSION_COLUMNS} from rolled", where=DATES),
+    "filter_sessions_of_days": _sql(
+        CHOSEN, where=DATES, sessions=f"{AGES} and {KEYWORDS} and {CLICKED}"
+    ),
+    "session_records_of_months": _sql(
+        f"select {SESSION_COLUMNS}, {USER_COLUMNS}, {LISTS} from chosen"
+    ),
     "filter_age_between": _sql(CHOSEN, sessions=AGES),
     "filter_age_one_sided": _sql(CHOSEN),
     "filter_professional_in": _sql(CHOSEN, sessions=SEGMENTS),

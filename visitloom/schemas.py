@@ -58,6 +58,19 @@ TASK = _struct(
     ("task_param", _TEXT),
 )
 
+# --- The state of a session on a day -------------------------------------------
+
+SESSION_DAY = _struct(
+    ("date", _TEXT),
+    ("session_id", _TEXT),
+    ("user_id", _LONG),
+    ("first_ts", T.TimestampNTZType()),
+    ("last_ts", T.TimestampNTZType()),
+    ("steps", _LONG),
+    ("keywords", T.ArrayType(_TEXT)),
+    ("clicks", T.ArrayType(_struct(("category", _LONG), ("n", _LONG)))),
+)
+
 # --- Fixed values: task parameter names --------------------------------------
 
 TASK_PARAM_FIELDS = (

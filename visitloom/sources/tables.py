@@ -15,11 +15,15 @@ from visitloom.schemas import PRODUCT_INFO, TASK, USER_INFO, USER_VISIT_ACTION
 
 @dataclass(frozen=True)
 class Tables:
-    """The source tables of a job, as lazy DataFrames."""
+    """The source tables of a job, as lazy DataFrames.
+
+    ``days``: the states of all days of ``actions`` (``operators.days``), where they are kept.
+    """
 
     actions: DataFrame
     users: DataFrame
     tasks: DataFrame | None = None
+    days: DataFrame | None = None
 
     @classmethod
     def from_paths(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Tables:

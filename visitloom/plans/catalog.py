@@ -12,7 +12,7 @@ from visitloom.functions.predicates import equal
 from visitloom.operators import categories, days, details, sampling, sessions, stats, topn
 from visitloom.params import TaskParams
 from visitloom.schemas import TIME_FORMAT, USER_VISIT_ACTION
-from visitloom.sources import star
+from visitloom.sources import audit, star
 from visitloom.sources.tables import scan_actions, scan_products, scan_users
 from visitloom.sources.tasks import task_by_id, task_params
 
@@ -467,6 +467,71 @@ def kv_set(spark, sf_dir):
     return text.set_kv(_packed(spark, sf_dir), "packed", "stepLength", "0")
 
 
+#: Values with every character that structures packed text, missing and empty ones, by page.
+ODD_VALUES = (
+    """case page_id when 0 then null when 1 then '' when 2 then '%00' when 3 then '%7C'
+        else concat(session_id, '|', action_time, '=%,', coalesce(search_keyword, ''), '|=') end as odd""",
+    """case page_id when 0 then null when 1 then array() when 2 then array('') when 3 then array('', null)
+        else array(search_keyword, concat('a,', session_id), '%01') end as odd_list""",
+)
+
+
+def _packed_exactly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = _actions(spark, sf_dir).selectExpr("session_id", "page_id", "click_category_id", *ODD_VALUES)
+    fields = {"sessionId": "session_id", "odd": "odd", "list": "odd_list", "category": "click_category_id"}
+    return text.pack_exact(odd, fields)
+
+
+@_query
+def kv_pack_exact(spark, sf_dir):
+    return _packed_exactly(spark, sf_dir).select("session_id", "page_id", "packed")
+
+
+@_query
+def kv_unpack_exact(spark, sf_dir):
+    fields = {"odd": "odd", "list": "items", "category": "category", "none": "not_there"}
+    packed = _packed_exactly(spark, sf_dir).select("session_id", "page_id", "packed")
+    read = text.unpack_exact(packed, "packed", fields, lists=["list"])
+    items = F.transform("items", lambda item: F.coalesce(item, F.lit("<null>")))
+    return read.withColumn("items", F.array_join(items, "; ")).drop("packed")
+
+
+# --- raw actions that cannot be read ----------------------------------------------------
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions as text; those of some pages are damaged in some columns."""
+    raw = star.user_visit_action(spark, sf_dir)
+    raw = raw.select(*(F.col(c).cast("string").alias(c) for c in raw.columns))
+    damages = {
+        "user_id": "if(page_id = '1', concat(user_id, 'x'), if(page_id = '2', '', user_id))",
+        "session_id": "if(page_id = '2', null, session_id)",
+        "action_time": "case page_id when '3' then replace(action_time, ' ', 'T') "
+        "when '4' then concat(date_add(to_date(date), 1), ' 1:00:00') else action_time end",
+        "date": "if(page_id = '5', replace(date, '-', '/'), date)",
+        "click_category_id": "if(page_id = '6', concat(click_category_id, '.5'), click_category_id)",
+        "order_category_ids": "if(page_id = '7', concat(order_category_ids, ',,'), order_category_ids)",
+    }
+    return raw.withColumns({name: F.expr(damage) for name, damage in damages.items()})
+
+
+@_query
+def reject_counts(spark, sf_dir):
+    return audit.reject_counts(audit.audited_actions(_raw(spark, sf_dir)))
+
+
+@_query
+def rejected_actions(spark, sf_dir):
+    refused = audit.rejected(audit.audited_actions(_raw(spark, sf_dir)))
+    page = F.get_json_object("row", "$.page_id")
+    return refused.select("column", "reason", "value", page.alias("page_id"))
+
+
+@_query
+def accepted_actions(spark, sf_dir):
+    return audit.accepted(audit.audited_actions(_raw(spark, sf_dir)))
+
+
 @_query
 def clean_lists(spark, sf_dir):
     lists = _actions(spark, sf_dir).select(

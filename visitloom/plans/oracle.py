@@ -250,6 +250,44 @@ from rolled"""
 CHOSEN = f"select {SESSION_COLUMNS}, {USER_COLUMNS} from chosen"
 
 
+
+
+def _coded(value: str) -> str:
+    """A value in packed text, its signs written as codes."""
+    for sign, code in (("%", "%25"), ("|", "%7C"), ("=", "%3D"), (",", "%2C")):
+        value = f"replace({value}, '{sign}', '{code}')"
+    return f"coalesce({value}, '%00')"
+
+
+ODD = """(
+    select session_id, page_id, click_category_id as category,
+        case page_id when 0 then null when 1 then '' when 2 then '%00' when 3 then '%7C'
+            else session_id || '|' || action_time || '=%,' || coalesce(search_keyword, '') || '|=' end as odd,
+        case page_id when 0 then null when 1 then [] when 2 then [''] when 3 then ['', null]
+            else [search_keyword, 'a,' || session_id, '%01'] end as items
+    from actions
+)"""
+
+# Damaged rows and what is wrong with them, by page.
+DAMAGED = """, damaged as (
+    select cast(page_id as varchar) as page_id, date as day, action_time as time,
+        unnest(case page_id
+            when 1 then [{'c': 'user_id', 'r': 'not a whole number', 'v': user_id || 'x'}]
+            when 2 then [{'c': 'user_id', 'r': 'missing', 'v': ''}, {'c': 'session_id', 'r': 'missing', 'v': null}]
+            when 3 then [{'c': 'action_time', 'r': 'not a time', 'v': replace(action_time, ' ', 'T')}]
+            when 4 then [{'c': 'action_time', 'r': 'on another date',
+                'v': strftime(cast(date as date) + interval 1 day, '%Y-%m-%d') || ' 1:00:00'}]
+            when 5 then [{'c': 'date', 'r': 'not a date', 'v': replace(date, '-', '/')}]
+            when 6 then case when click_category_id is null then []
+                else [{'c': 'click_category_id', 'r': 'not a whole number', 'v': click_category_id || '.5'}] end
+            when 7 then case when order_category_ids is null then []
+                else [{'c': 'order_category_ids', 'r': 'not a list of whole numbers', 'v': order_category_ids || ',,'}] end
+            else [] end, recursive := true)
+    from actions
+)"""
+SOUND = """page_id in (0, 8, 9) or (page_id = 6 and click_category_id is null)
+    or (page_id = 7 and order_category_ids is null)"""
+
 TIMES = "session_id, page_id, date, action_time"
 STAMP = "%Y-%m-%d %H:%M:%S"
 
@@ -435,6 +473,25 @@ ORACLE_SQL: dict[str, str] = {
         "select regexp_replace(packed, 'stepLength=[0-9]+', 'stepLength=0') as packed"
         f" from ({PACKED})"
     ),
+    "kv_pack_exact": _sql(f"""
+        select session_id, page_id, 'sessionId=' || {_coded("session_id")} || '|odd=' || {_coded("odd")}
+            || '|list=' || case when items is null then '%02' when items = [''] then '%01'
+                else coalesce(array_to_string(list_transform(items, lambda x: {_coded("x")}), ','), '') end
+            || '|category=' || {_coded("cast(category as varchar)")} as packed
+        from {ODD}"""),
+    "kv_unpack_exact": _sql(f"""
+        select session_id, page_id, odd,
+            array_to_string(list_transform(items, lambda x: coalesce(x, '<null>')), '; ') as items,
+            cast(category as varchar) as category, cast(null as varchar) as not_there
+        from {ODD}"""),
+    "reject_counts": _sql(f"""{DAMAGED}
+        select c as "column", r as reason, count(*) as row_count from damaged group by all
+        union all
+        select '', case when {SOUND} then 'none' else 'any' end, count(*) from actions group by all"""),
+    "rejected_actions": _sql(
+        f"""{DAMAGED} select c as "column", r as reason, v as value, page_id from damaged"""
+    ),
+    "accepted_actions": _sql(f"select {ACTION_COLUMNS} from actions where {SOUND}"),
     "clean_lists": _sql("""
         select session_id, page_id,
             case when pay_category_ids is not null

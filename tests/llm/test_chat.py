@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import public_tokenizers
 from hypothesis import given, settings
@@ -70,3 +71,10 @@ def test_mask_by_hand():
     offsets = [(0, 2), (2, 5), (5, 5), (5, 9), (9, 10)]
     assert chat.spans_to_tokens([(2, 5), (6, 10)], offsets) == [(1, 2), (3, 5)]
     assert chat.spans_to_tokens([(5, 5)], [(0, 5), (5, 9)]) == []
+
+
+def test_many_turns_take_time_in_proportion(spark):
+    rows = [(1, n, "user" if n % 2 == 0 else "assistant", f"turn {n} says a few words") for n in range(20_000)]
+    start = time.perf_counter()
+    assert got(spark, rows) == digests(rows)
+    assert time.perf_counter() - start < 60

@@ -6,9 +6,11 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from visitloom.llm import html_text
 
@@ -99,3 +101,23 @@ def test_odd_rows(spark, model):
     assert found == sorted([(None, None, "", 0), (1, "u", "", 0), (2, "v", long, len(long))], key=str)
     assert html_text.extract_main_text(rows.limit(0), model).count() == 0
     assert not html_text.fit_on_table(rows.limit(0)).weights.any()
+
+
+def test_unmatched_tags_take_time_in_proportion():
+    k = 30_000
+    for source in ("<span>" * k + "</b>" * k, "<b><table>" + "<span>" * k + "</b>" * k, "<span>" * k + "<div></div>" * k, "<p>" + "<i>" * k + "</p><p>" * k):
+        assert len(source) >= 300_000
+        start = time.perf_counter()
+        html_text.read_page(source + LONG)
+        assert time.perf_counter() - start < 15
+
+
+def test_pages_that_do_not_mark_their_article(spark):
+    """Without any article element the model learns from made-up pages, and still finds most of the text."""
+    pages = spark.read.parquet(PAGES).where("page_id % 4 = 0")
+    plain = pages.withColumn("html", F.regexp_replace("html", "<(/?)article", "<$1div"))
+    model = html_text.fit_on_table(plain)
+    expected = {r["page_id"]: article(r["html"]) for r in pages.collect()}
+    found = html_text.extract_main_text(plain, model).collect()
+    shares = [len(set(r["text"].split()) & set(expected[r["page_id"]].split())) / max(1, len(set(expected[r["page_id"]].split()))) for r in found]
+    assert np.mean(shares) > 0.8

@@ -156,8 +156,10 @@ def digest_formatted(formatted: DataFrame, vocabulary: str) -> DataFrame:
                 encoded = encoder.encode(text, add_special_tokens=False)
                 if encoded.ids != ids:
                     raise ValueError(f"the ids of conversation {conv_id} are not those of its text")
+                # Each look at the library's offsets makes the whole list.
+                offsets = encoded.offsets
                 for span in loss:
-                    a, b = encoded.offsets[span["token_from"]][0], encoded.offsets[span["token_to"] - 1][1]
+                    a, b = offsets[span["token_from"]][0], offsets[span["token_to"] - 1][1]
                     words = unescape(text[a:b])
                     kept[2] += len(words)
                     kept[3].update(words.encode())

@@ -1,15 +1,21 @@
-"""Helpers the operators share: checkpoints, Arrow batches, rolling hashes of bytes."""
+"""Helpers the operators share: stored tables, values for tasks, Arrow batches, rolling hashes of bytes."""
 
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitloom.plans.job import Stages
+
+Value = TypeVar("Value")
+
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 NULL_ID = (1 << 63) - 1
@@ -23,12 +29,53 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="visitloom-"))
+        context.setCheckpointDir(_local_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def _local_folder(spark: SparkSession) -> str:
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="visitloom-")
+
+
+class Scratch:
+    """Tables that a computation stores on its way, in a folder of its own below
+    ``spark.checkpoint.dir``; at the end of a ``with`` block they are deleted."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        known = spark.conf.get("spark.checkpoint.dir", None)
+        self._stages = Stages(spark, None if known else _local_folder(spark))
+        self._stored = 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self._stored += 1
+        return self._stages.store(str(self._stored), df)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.delete()
+
+    def delete(self) -> None:
+        self._stages.delete()
+
+
+def by_value(spark: SparkSession, value: Value) -> Callable[[], Value]:
+    """Broadcast a value with the classes it is made of; tasks call the result to get it.
+
+    A plain broadcast names its classes only, and then every executor would need this package.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
+def with_row(df: DataFrame, text: Column) -> DataFrame:
+    """All columns as one struct ``row``, beside ``text``: no name of the table's can clash."""
+    return df.select(F.struct("*").alias("row"), text.alias("text"))
+
+
 def small_arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts are long: with so few rows an Arrow batch stays within some megabytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

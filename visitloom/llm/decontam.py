@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitloom.llm.common import Rolling, small_batches, text_buffer
+from visitloom.llm.common import Rolling, by_value, small_batches, text_buffer, with_row
 
 GRAM = 8
 #: Bytes of benchmark text in one index; more text makes more indexes.
 INDEX_BYTES = 8 << 20
+#: Places of shared q-grams looked at together.
+PLACES = 1 << 21
 
 
 @dataclass
@@ -92,6 +94,58 @@ def aligned(item: bytes, text: bytes, low: int, width: int, budget: int) -> int:
     return int(cost.min())
 
 
+def banded(index: Index, row: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """How many shared q-grams lie in each band of diagonals: pair (row and item), band, count.
+
+    Diagonals of one alignment differ by the budget at most: each such range lies in a band of twice
+    its width, as neighbouring bands overlap by half.
+    """
+    times = index.first[key + 1] - index.first[key]
+    entry = np.repeat(index.first[key], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    item = index.item[entry]
+    band = (np.repeat(place, times) - index.at[entry]) // (index.budget[item] + 1)
+    pair = np.repeat(row, times) * np.int64(len(index.ids)) + item
+    return added(np.r_[pair, pair], np.r_[band, band - 1], np.ones(2 * len(pair), np.int64))
+
+
+def added(pair: np.ndarray, band: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Counts of equal pairs and bands added up."""
+    order = np.lexsort((band, pair))
+    pair, band, count = pair[order], band[order], count[order]
+    new = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])]) if len(pair) else order
+    return pair[new], band[new], np.add.reduceat(count, new) if len(new) else count
+
+
+def likely_bands(index: Index, row: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and bands with as many shared q-grams as the lemma asks for.
+
+    A few texts at a time, so that no more than about ``PLACES`` places are looked at together; one
+    text with more is counted in parts.
+    """
+    times = index.first[key + 1] - index.first[key]
+    total = np.cumsum(times)
+    texts = np.flatnonzero(np.r_[True, row[1:] != row[:-1], True]) if len(row) else np.zeros(1, np.int64)
+    pairs, bands, begin = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while begin < len(texts) - 1:
+        first = texts[begin]
+        before = total[first] - times[first]
+        # Whole texts, at least one.
+        reach = np.searchsorted(total[texts[1:] - 1], before + PLACES, side="right")
+        stop = max(begin + 1, int(reach))
+        last, found = texts[stop], []
+        while first < last:
+            before = total[first] - times[first]
+            cut = min(last, max(first + 1, int(np.searchsorted(total, before + PLACES, side="right"))))
+            found.append(banded(index, row[first:cut], place[first:cut], key[first:cut]))
+            first = cut
+        pair, band, count = found[0] if len(found) == 1 else added(*map(np.concatenate, zip(*found)))
+        keep = count >= index.least[pair % len(index.ids)]
+        pairs.append(pair[keep])
+        bands.append(band[keep])
+        begin = stop
+    return np.concatenate(pairs), np.concatenate(bands)
+
+
 def find_in_texts(index: Index, column: pa.Array, rolling: Rolling) -> list[tuple[int, int, int]]:
     """Row, item and edits of the items that lie within their budgets in the texts of a column."""
     data, offsets = text_buffer(column)
@@ -105,24 +159,9 @@ def find_in_texts(index: Index, column: pa.Array, rolling: Rolling) -> list[tupl
         key = np.minimum(np.searchsorted(index.keys, grams[hit]), len(index.keys) - 1)
         true = index.keys[key] == grams[hit]
         hit, row, key = hit[true], row[true], key[true]
-        times = index.first[key + 1] - index.first[key]
-        entry = np.repeat(index.first[key], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        item = index.item[entry]
-        row, diagonal = np.repeat(row, times), np.repeat(hit - offsets[row], times) - index.at[entry]
-        # Diagonals of one alignment differ by the budget at most: each such range lies in a band of
-        # twice its width, as neighbouring bands overlap by half.
-        width = index.budget[item] + 1
-        band = diagonal // width
-        pair = row * np.int64(len(index.ids)) + item
-        both = np.r_[pair, pair], np.r_[band, band - 1]
-        order = np.lexsort(both[::-1])
-        pair, band = both[0][order], both[1][order]
-        new = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])]) if len(pair) else np.zeros(0, np.int64)
-        count = np.diff(np.r_[new, len(pair)])
-        pair, band = pair[new], band[new]
-        keep = count >= index.least[pair % len(index.ids)]
+        pair, band = likely_bands(index, row, hit - offsets[row], key)
         best: dict[int, int] = {}
-        for p, b in zip(pair[keep].tolist(), band[keep].tolist()):
+        for p, b in zip(pair.tolist(), band.tolist()):
             r, i = divmod(p, len(index.ids))
             budget = int(index.budget[i])
             if best.get(p, budget + 1) == 0:
@@ -149,7 +188,7 @@ def find_in_texts(index: Index, column: pa.Array, rolling: Rolling) -> list[tupl
 
 
 def indexes(benchmark: DataFrame, rate: float) -> list:
-    """Broadcast indexes of all items. Equal texts are one entry, under their least item_id; each
+    """Indexes of all items, for tasks. Equal texts are one entry, under their least item_id; each
     index holds about 8 MB of text, whatever the size of the benchmark."""
     spark = benchmark.sparkSession
     items = benchmark.select("item_id", plain("text").alias("text")).where("text <> ''")
@@ -160,7 +199,7 @@ def indexes(benchmark: DataFrame, rate: float) -> list:
     told = []
     for n in range(chunks):
         rows = items.where(chunk == n).orderBy("item_id", "text").collect()
-        told.append(spark.sparkContext.broadcast(build_index([(r["item_id"], r["text"].encode()) for r in rows], rate)))
+        told.append(by_value(spark, build_index([(r["item_id"], r["text"].encode()) for r in rows], rate)))
     return told
 
 
@@ -182,7 +221,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.1) ->
     for sent in indexes(benchmark, rate):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            rolling, index = Rolling(), sent.value
+            rolling, index = Rolling(), sent()
             for batch in batches:
                 for part in small_batches(batch, 2 << 20):
                     rows = find_in_texts(index, part.column(1), rolling)
@@ -203,18 +242,21 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.1) ->
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
-    """The documents, with all their columns, in which ``find_leaks`` finds no item. No shuffle."""
-    names, schema = documents.columns, documents.schema
+    """The documents, with all their columns, in which ``find_leaks`` finds no item. No shuffle.
+
+    A null or empty text has no item, so its row stays; null and repeated ids are rows like others,
+    and any other columns of any name stay as they are. An empty benchmark keeps all.
+    """
     for sent in indexes(benchmark, rate):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            rolling, index = Rolling(), sent.value
+            rolling, index = Rolling(), sent()
             for batch in batches:
                 for part in small_batches(batch, 2 << 20):
-                    bad = {r for r, _, _ in find_in_texts(index, part.column(part.num_columns - 1), rolling)}
+                    bad = {r for r, _, _ in find_in_texts(index, part.column(1), rolling)}
                     keep = pa.array([n not in bad for n in range(part.num_rows)], pa.bool_())
-                    yield pa.RecordBatch.from_arrays(part.filter(keep).columns[:-1], names)
+                    yield part.select(["row"]).filter(keep)
 
-        compared = documents.select("*", plain("text").alias("compared_text"))
-        documents = compared.mapInArrow(run, schema)
+        compared = with_row(documents, plain("text"))
+        documents = compared.mapInArrow(run, compared.select("row").schema).select("row.*")
     return documents

@@ -5,7 +5,8 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -125,8 +126,10 @@ def read_page(source: str) -> Page:
     """The tree of a page; broken markup is mended much as browsers do."""
     page = Page()
     root = page.add(-1, ["element", "top"], None, None, "html")
-    # Open elements: tag, node of the block they are in, whether unseen, whether in a link.
+    # Open elements: tag, node of the block they are in, whether unseen, whether in a link; and by tag,
+    # how deep they lie.
     stack = [("html", root, False, False)]
+    depths: defaultdict[str, list[int]] = defaultdict(list)
     words: list[str] = []
     linked, at = 0, 0
 
@@ -152,9 +155,14 @@ def read_page(source: str) -> Page:
     def close(depth: int) -> None:
         if any(s[0] in BLOCKS for s in stack[depth:]):
             flush()
-        del stack[depth:]
+        while len(stack) > depth:
+            depths[stack.pop()[0]].pop()
         holder[0] = stack[-1][1]
 
+    def deepest(tags: Iterable[str]) -> int:
+        """How deep the innermost open element of these tags lies; 0 for none."""
+        return max((depths[t][-1] for t in tags if depths[t]), default=0)
+
     while at < len(source):
         found = TAG.search(source, at)
         if not found:
@@ -167,21 +175,18 @@ def read_page(source: str) -> Page:
             continue
         tag = tag.lower()
         if slash:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-                if stack[depth][0] in FENCES and tag not in BLOCKS or stack[depth][0] in ("table", "body") and tag in ("p", "li"):
-                    break
+            fences = set() if tag in BLOCKS else set(FENCES)
+            if tag in ("p", "li"):
+                fences |= {"table", "body"}
+            depth = deepest([tag])
+            if depth > deepest(fences - {tag}):
+                close(depth)
             continue
         if tag in ENDS or tag in BLOCKS:
             ended = ENDS.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in ended:
-                    close(depth)
-                    if tag not in ("tr", "td", "th"):
-                        break
-                elif stack[depth][0] in FENCES:
+            while (depth := deepest(ended)) > deepest(FENCES - ended):
+                close(depth)
+                if tag not in ("tr", "td", "th"):
                     break
         if tag == "br":
             said(" ")
@@ -203,6 +208,7 @@ def read_page(source: str) -> Page:
             holder[0] = node
         if attributes.endswith("/") and tag not in BLOCKS:
             continue
+        depths[tag].append(len(stack))
         stack.append((tag, node, unseen or tag in UNSEEN, link or tag == "a"))
     flush()
     return page
@@ -388,10 +394,16 @@ def fit_on_table(pages: DataFrame, sample: int = 200, others: int = 3, longest:
     """A model from at most ``sample`` pages of at most ``longest`` characters, drawn by a hash of the
     id among those that mark their article by an element of that name.
 
-    Each also enters with other wrapping, ``others`` times. Without such pages, all weights are 0.
+    Each also enters with other wrapping, ``others`` times. Where no page marks its article, the model
+    is fitted on made-up pages only: the longer text blocks of as many pages stand for an article,
+    within the wrapping and chrome that ``other_page`` makes of the shorter ones. Pages without any
+    text, or no pages, give weights of 0, and then no page has a main text.
     """
-    fit = pages.where(F.lower("html").contains("<article") & (F.length("html") <= longest))
-    rows = fit.select("html").orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(sample).collect()
+    short = pages.where(F.length("html") <= longest)
+    order = F.xxhash64("page_id"), F.xxhash64("html")
+    rows = short.where(F.lower("html").contains("<article")).select("html").orderBy(*order).limit(sample).collect()
+    if not rows:
+        return _fit_unmarked([r[0] for r in short.select("html").orderBy(*order).limit(sample).collect()], others)
     marked = [re.sub(r"<article\b", '<article data-kept="1"', r[0], flags=re.IGNORECASE) for r in rows]
     trees = [read_page(m) for m in marked]
     blocks = [[t for t, y in zip(p.text, labels(p)) if t is not None and y] for p in trees]
@@ -402,6 +414,16 @@ def fit_on_table(pages: DataFrame, sample: int = 200, others: int = 3, longest:
     return fit_pages([t for t, b in zip(trees, blocks) if b] + made)
 
 
+def _fit_unmarked(sources: list[str], others: int, words: int = 8) -> TreeModel:
+    """A model from made-up pages with the text blocks of these: those of at least so many words
+    are taken for an article's."""
+    texts = [[t for t in read_page(s).text if t is not None] for s in sources]
+    blocks = [[t for t in some if len(t.split()) >= words] for some in texts]
+    rest = [t for some in texts for t in some if len(t.split()) < words] or [t for some in blocks for t in some]
+    rng = random.Random(20240607)
+    return fit_pages([read_page(other_page(rng, b, rest)) for b in blocks if b for _ in range(others)])
+
+
 def extract_main_text(pages: DataFrame, model: TreeModel) -> DataFrame:
     """The main text of every page: page_id, url, text, n_chars.
 

@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitloom.llm.common import mixed, small_batches
+from visitloom.llm.common import by_value, mixed, small_batches, with_row
 
 UNKNOWN = "und"
 WIDTHS = (3, 4)
 HASHES = 3
+#: Languages of a model; of more labels, those with most documents are learned.
+MOST_LANGUAGES = 4096
 
 
 @dataclass(frozen=True)
@@ -29,6 +31,11 @@ class LanguageModel:
     slices: np.ndarray
     false_share: np.ndarray
 
+    @property
+    def learned(self) -> bool:
+        """Whether any language has an n-gram."""
+        return bool(self.slices.any())
+
 
 def letters() -> np.ndarray:
     """Whether each code point is a letter."""
@@ -75,13 +82,20 @@ def slots(grams: np.ndarray, size: int) -> list[np.ndarray]:
     return [((grams + np.uint64(i) * step) & np.uint64(size - 1)).astype(np.int64) for i in range(HASHES)]
 
 
-def labelled_sample(labelled: DataFrame, per_language: int) -> tuple[DataFrame, DataFrame]:
-    """lang and text of about ``per_language`` rows of each language; and all languages."""
-    rows = labelled.where(F.col("lang").isNotNull()).select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
-    sizes = rows.groupBy("lang").count().withColumnRenamed("count", "documents")
-    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1_000_000))
-    # As many rows as the model has languages; so the texts stay where they are read.
-    sample = rows.join(F.broadcast(sizes), "lang").where(drawn * F.col("documents") < F.lit(per_language) * 1_000_000)
+def labelled_sample(labelled: DataFrame, per_language: int, most: int = MOST_LANGUAGES) -> tuple[DataFrame, DataFrame]:
+    """lang and text of about ``per_language`` rows of each of the ``most`` languages with most rows;
+    and these languages.
+
+    Rows are drawn by a hash of doc_id and text; rows that agree in both count once, so the sample is
+    bounded whatever repeats.
+    """
+    text = F.coalesce("text", F.lit(""))
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
+    rows = labelled.where(F.col("lang").isNotNull()).select("lang", text.alias("text"), key.alias("key"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "lang").limit(most)
+    drawn = F.pmod("key", F.lit(1_000_000)) * F.col("documents") < F.lit(per_language) * 1_000_000
+    # At most ``most`` rows; so the texts stay where they are read until they are drawn.
+    sample = rows.join(F.broadcast(sizes), "lang").where(drawn).dropDuplicates(["lang", "key"])
     return sample.select("lang", "text"), sizes
 
 
@@ -91,12 +105,13 @@ def fit_languages(
 ) -> LanguageModel:
     """A model from rows with doc_id, text and a non-null lang.
 
-    The fit reads about ``per_language`` documents of each language, drawn by a hash of the id (all
-    if there are fewer). A language's filter holds its ``grams`` most frequent n-grams among those
+    The fit reads about ``per_language`` documents of each language (at most 4096 languages), drawn by
+    a hash of id and text (all if there are fewer), repeated rows once. A language's filter holds its ``grams`` most frequent n-grams among those
     with a share of ``least`` of its n-grams, and of ``own`` times their share in any other language;
     where these are less than ``coverage`` of its n-grams, as many more as reach that, or all.
     The model's size is bounded by these parameters and the number of languages. Without rows it
-    knows no language. Null texts and ids are no different from empty texts and other ids.
+    knows no language; a language without any letters has no n-grams. Null texts and ids are no
+    different from empty ones.
     """
     sample, sizes = labelled_sample(labelled, per_language)
 
@@ -109,7 +124,10 @@ def fit_languages(
                 for lang in sorted(set(langs)):
                     values, n = np.unique(found[langs[owner] == lang], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(values)), pa.array(values.view(np.int64)), pa.array(n)],
+                        [
+                            pa.array([str(lang)] * len(values), pa.string()), pa.array(values.view(np.int64), pa.int64()),
+                            pa.array(n, pa.int64()),
+                        ],
                         ["lang", "gram", "n"],
                     )
 
@@ -157,7 +175,7 @@ def language_shares(model: LanguageModel, grams: np.ndarray, owner: np.ndarray,
 def predict(model: LanguageModel, texts: list[str], is_letter: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     grams, owner, has_letter = text_grams(texts, is_letter)
-    if not model.languages:
+    if not model.learned:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     shares = language_shares(model, grams, owner, len(texts))
     best = shares.argmax(axis=1)
@@ -170,17 +188,17 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
     Each n-gram's slots, combined by AND, give all languages that contain it; the language with the
     largest corrected share of the text's n-grams is predicted, the first by name among equal ones.
-    score is that share. A null text, one without letters, or a model without languages gives
+    score is that share. A null text, one without letters, or a model without n-grams gives
     ``und`` and 0. A null id stays; repeated rows are judged each; other columns are dropped.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    sent = by_value(documents.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_letter = letters()
+        is_letter, model = letters(), sent()
         for batch in batches:
             for part in small_batches(batch, 1 << 20):
-                names, score = predict(sent.value, part.column(1).to_pylist(), is_letter)
+                names, score = predict(model, part.column(1).to_pylist(), is_letter)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"]
                 )
@@ -197,17 +215,17 @@ def least_scores(
     Half of what the labelled documents of the language (the sample of the fit) reach but for the
     share ``low`` of them, at most ``most``: languages differ in how many of their n-grams a filter holds.
     """
-    sent = labelled.sparkSession.sparkContext.broadcast(model)
+    sent = by_value(labelled.sparkSession, model)
     number = {lang: n for n, lang in enumerate(model.languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_letter = letters()
+        is_letter, model = letters(), sent()
         for batch in batches:
             for part in small_batches(batch, 1 << 20):
                 found, owner, has_letter = text_grams(part.column(1).to_pylist(), is_letter)
-                shares = language_shares(sent.value, found, owner, part.num_rows)
+                shares = language_shares(model, found, owner, part.num_rows)
                 own = shares[np.arange(part.num_rows), [number[lang] for lang in part.column(0).to_pylist()]]
-                told = pa.RecordBatch.from_arrays([part.column(0), pa.array(own)], ["lang", "own"])
+                told = pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.float64())], ["lang", "own"])
                 yield told.filter(pa.array(has_letter))
 
     sample, _ = labelled_sample(labelled, per_language)
@@ -218,25 +236,25 @@ def least_scores(
 def identified(documents: DataFrame, model: LanguageModel, least: float | dict[str, float] = 0.3) -> DataFrame:
     """The documents, with all their columns, whose language is known with at least this score (or
     that of the language, see ``least_scores``). Where no language could be learned, all with letters.
+
+    A null text has no letters, so its row goes; null and repeated ids are rows like others, and any
+    other columns of any name stay as they are. An empty table stays empty.
     """
-    names_kept = documents.columns
-    sent = documents.sparkSession.sparkContext.broadcast(model)
-    learned = bool(model.slices.any())
+    sent = by_value(documents.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_letter = letters()
+        is_letter, model = letters(), sent()
         for batch in batches:
             for part in small_batches(batch, 1 << 20):
-                texts = part.column(part.num_columns - 1).to_pylist()
-                if learned:
-                    names, score = predict(sent.value, texts, is_letter)
+                texts = part.column(1).to_pylist()
+                if model.learned:
+                    names, score = predict(model, texts, is_letter)
                     keep = [
                         n != UNKNOWN and s >= (least[n] if isinstance(least, dict) else least) for n, s in zip(names, score)
                     ]
                 else:
                     keep = text_grams(texts, is_letter)[2]
-                left = part.filter(pa.array(keep, pa.bool_()))
-                yield pa.RecordBatch.from_arrays(left.columns[:-1], names_kept)
+                yield part.select(["row"]).filter(pa.array(keep, pa.bool_()))
 
-    judged = documents.select("*", F.coalesce("text", F.lit("")).alias("judged_text"))
-    return judged.mapInArrow(run, documents.schema)
+    judged = with_row(documents, F.coalesce("text", F.lit("")))
+    return judged.mapInArrow(run, judged.select("row").schema).select("row.*")

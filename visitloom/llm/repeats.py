@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +16,9 @@ from visitloom.llm.common import NULL_ID, Rolling, checkpointed, mixed, sliding_
 
 #: Bytes of the anchor that stands for a passage: the one with the least hash among those inside.
 ANCHOR = 16
-#: Bytes of anchor hashes that are kept; later, equal runs go by a 64-bit hash, others by suffix order.
-KEPT = 6
+#: Bytes of anchor hashes that travel, beside the bucket, which is of the other bytes. Anchors that
+#: agree by chance only bring passages that are looked at in vain.
+KEPT = 4
 #: Bytes of texts looked at together, and of runs sorted together.
 BATCH = 3 << 20
 SORTED = 1 << 20
@@ -34,13 +36,13 @@ def anchors(column: pa.Array, length: int, rolling: Rolling) -> tuple[np.ndarray
     sizes = np.maximum(np.diff(offsets) - length + 1, 0)
     row = np.repeat(np.arange(len(sizes)), sizes)
     at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    least = least[offsets[row] + at] & np.uint64((1 << 8 * KEPT) - 1)
+    least = least[offsets[row] + at]
     first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (least[1:] != least[:-1])]) if len(row) else empty
     return row[first], at[first], np.diff(np.r_[first, len(row)]), least[first], data, offsets
 
 
 def packed(hashes: np.ndarray) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
+    return np.ascontiguousarray(hashes).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
 
 
 def unpacked(blob: bytes) -> np.ndarray:
@@ -49,6 +51,11 @@ def unpacked(blob: bytes) -> np.ndarray:
     return whole.view("<u8").reshape(-1)
 
 
+def told_part(hashes: np.ndarray) -> np.ndarray:
+    """What ``unpacked(packed(hashes))`` gives."""
+    return hashes & np.uint64((1 << 8 * KEPT) - 1)
+
+
 def squeezed(values: np.ndarray) -> bytes:
     """Whole numbers byte plane by byte plane, compressed."""
     return zlib.compress(values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
@@ -152,7 +159,7 @@ def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     kinds = [pa.int64(), *[pa.binary()] * 5]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling()
+        rolling, squeeze = Rolling(), zstandard.ZstdCompressor(3)
         for batch in batches:
             for part in small_batches(batch, BATCH):
                 ids, units = part.column(0).to_numpy(), part.column(1).to_numpy()
@@ -160,7 +167,7 @@ def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                 lists = [np.unique(np.concatenate([unpacked(x) for x in some])) for some in part.column(3).to_pylist()]
                 cuts = np.searchsorted(row, np.arange(len(lists) + 1))
                 keep = np.concatenate(
-                    [np.isin(hashes[a:b], own) for a, b, own in zip(cuts, cuts[1:], lists)] or [np.zeros(0, bool)]
+                    [np.isin(told_part(hashes[a:b]), own) for a, b, own in zip(cuts, cuts[1:], lists)] or [np.zeros(0, bool)]
                 )
                 row, at, size, hashes = row[keep], at[keep], size[keep], hashes[keep]
                 start = offsets[row] + at
@@ -179,7 +186,7 @@ def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                         bodies = None
                         if not is_known:
                             ends = (start[own] + size[own] + length - 1).tolist()
-                            bodies = zlib.compress(b"".join([raw[i:j] for i, j in zip(start[own].tolist(), ends)]), 1)
+                            bodies = squeeze.compress(b"".join([raw[i:j] for i, j in zip(start[own].tolist(), ends)]))
                         numbers = (ids[row[own]], units[row[own]], at[own], size[own])
                         out.append((bucket, *map(squeezed, numbers), bodies))
                 yield table(out, names, kinds)
@@ -220,7 +227,7 @@ def run_hashes(bodies: np.ndarray, sizes: np.ndarray, length: int, rolling: Roll
     """Anchor and hash of each run, from their texts one after the other."""
     bounds = np.r_[0, np.cumsum(sizes + length - 1)]
     sums = rolling.prefix(bodies)
-    grams = sliding_min(rolling.grams(sums, ANCHOR) & np.uint64((1 << 8 * KEPT) - 1), length - ANCHOR + 1)
+    grams = sliding_min(rolling.grams(sums, ANCHOR), length - ANCHOR + 1)
     return grams[bounds[:-1]], rolling.spans(sums, bounds[:-1], bounds[1:])
 
 
@@ -279,7 +286,7 @@ def removed_spans(runs: DataFrame, length: int) -> DataFrame:
     def find(group: pa.Table) -> pa.Table:
         told: list[tuple[np.ndarray, ...]] = []
         ids, units, starts, sizes, bodies, keys = ([] for _ in range(6))
-        rolling = Rolling()
+        rolling, unsqueeze = Rolling(), zstandard.ZstdDecompressor()
         for row in group.to_pylist():
             i, u, at, n = (spread(row[c]) for c in ("ids", "units", "starts", "sizes"))
             if row["bodies"] is None:
@@ -287,7 +294,7 @@ def removed_spans(runs: DataFrame, length: int) -> DataFrame:
                 continue
             for kept, values in ((ids, i), (units, u), (starts, at), (sizes, n)):
                 kept.append(values)
-            bodies.append(np.frombuffer(zlib.decompress(row["bodies"]), np.uint8))
+            bodies.append(np.frombuffer(unsqueeze.decompress(row["bodies"]), np.uint8))
             keys.append(run_hashes(bodies[-1], n, length, rolling))
         if ids:
             i, u, at, n = map(np.concatenate, (ids, units, starts, sizes))

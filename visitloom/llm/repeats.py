@@ -90,7 +90,7 @@ def table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.R
 
 
 def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """unit and hashes (packed) of the anchors that at least two of the ``texts`` (unit, text) have.
+    """unit and hashes (packed) of the anchors that at least two of the ``texts`` (unit, text, row) have.
 
     What a batch of texts shares is known in the batch: such hashes come with each of their owners,
     as known, and go on unsorted. One owner of each hash is sorted among those of other batches.
@@ -145,12 +145,12 @@ def shared_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
         blobs = [blob[a * KEPT : b * KEPT] for a, b in zip(first, ends)]
         return pa.table({"unit": pa.array(ids[first], pa.int64()), "hashes": pa.array(blobs, pa.binary())})
 
-    sent = texts.select("unit", "text").mapInArrow(send, "bucket long, known boolean, ids binary, counts binary, hashes binary")
+    sent = texts.select("unit", "text", "row").mapInArrow(send, "bucket long, known boolean, ids binary, counts binary, hashes binary")
     return sent.groupBy("bucket").applyInArrow(meet, "unit long, hashes binary")
 
 
 def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Runs of passages with a shared anchor in ``texts`` (id, unit, text, lists), by bucket of the
+    """Runs of passages with a shared anchor in ``texts`` (id, unit, text, lists, row), by bucket of the
     anchor: ids, units, starts and sizes (number of starts) of runs, and their texts one after the
     other. Without texts (null) come the runs that are known to go: a text of a smaller id in the
     same batch has an equal one.
@@ -192,7 +192,7 @@ def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                 yield table(out, names, kinds)
 
     schema = "bucket long, ids binary, units binary, starts binary, sizes binary, bodies binary"
-    return texts.select("id", "unit", "text", "lists").mapInArrow(run, schema)
+    return texts.select("id", "unit", "text", "lists", "row").mapInArrow(run, schema)
 
 
 def ranks(values: np.ndarray) -> np.ndarray:
@@ -375,8 +375,8 @@ def _left(documents: DataFrame, length: int, whole: bool) -> DataFrame:
     # Each text has a number of its own, also where several have one id or none.
     standing = named.where((F.col("id") == F.col("low")) & (F.col("n_bytes") >= length)).select("id", "digest").distinct()
     standing = checkpointed(standing.withColumn("unit", F.monotonically_increasing_id()))
-    # The texts move once, by id and digest; each use reads the same shuffle. What is found out about
-    # a text goes there, so no task holds all texts of one id.
+    # The texts move once, by id and digest; each use reads the same shuffle, as long as it takes the
+    # same columns of it. What is found out about a text goes there, so no task holds all texts of one id.
     key = ["id", "digest"]
     texts = docs.join(standing, key)
 

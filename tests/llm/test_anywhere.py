@@ -1,0 +1,173 @@
+"""Operators in a session whose workers do not have this package, and on tables with awkward columns."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import corpus_pipeline as pipeline
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm import test_near_dup
+from visitloom.llm import decontam, langid, near_dup
+from visitloom.llm.common import Rolling, Scratch
+
+ROOT = Path(__file__).resolve().parents[2]
+SF = "/root/testdata/sf0.001"
+LINE = "a line of more than fifty bytes that two documents of this table have. "
+
+ELSEWHERE = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+def there(rows):
+    try:
+        import visitloom
+        yield 1
+    except ModuleNotFoundError:
+        yield 0
+assert spark.sparkContext.parallelize([0], 1).mapPartitions(there).collect() == [0]
+for name in ("op3_benchmark_decontamination", "op7_language_id", "op12_license_scan", "pipeline"):
+    print(name, entry.queries()[name](spark, {SF!r}).count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    environment = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    done = subprocess.run(
+        [sys.executable, "-c", ELSEWHERE, str(tmp_path)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=600
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    counts = dict(line.split() for line in done.stdout.splitlines())
+    assert len(counts) == 4 and all(int(n) > 0 for n in counts.values())
+
+
+INNER = (
+    "kept_id", "kept_digest", "nth", "row", "judged_text", "compared_text", "digest", "id", "unit", "low", "key", "order",
+    "spans", "lists", "root", "band", "size", "n_bytes", "kept", "documents", "drawn",
+)
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in pipeline.STAGES[:-1]])
+def test_columns_of_any_name_and_type_stay(spark, stage):
+    texts = ["the and that of this with words " * 4 + str(n) for n in range(6)] + ["the and that of this with words " * 4 + "0"]
+    rows = [(n if n % 3 else None, t, "en", len(t), *[f"{c}{n}" for c in INNER]) for n, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, n_chars long, " + ", ".join(f"{c} string" for c in INNER)
+    docs = spark.createDataFrame(rows, schema)
+    docs = docs.selectExpr("*", "map('k', doc_id) as a_map", "array(named_struct('m', map(1, text))) as nested", "current_date() as day")
+    left = dict(pipeline.STAGES)[stage](spark, docs, SF)
+    assert left.schema.simpleString() == docs.schema.simpleString()
+    told = left.collect()
+    assert told
+    for row in told:
+        n = int(row["nth"].removeprefix("nth"))
+        assert [row[c] for c in INNER] == [f"{c}{n}" for c in INNER]
+        assert row["a_map"] == {"k": row["doc_id"]} and row["doc_id"] == rows[n][0]
+
+
+def test_language_without_letters(spark):
+    rows = [(n, "the and that of this with a word " * 3, "en") for n in range(20)] + [(50, "12 34", "xx"), (51, None, "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    model = langid.fit_languages(docs)
+    assert model.languages == ["en", "xx", "yy"]
+    assert {r["lang_pred"] for r in langid.identify(docs.where("lang = 'en'"), model).collect()} == {"en"}
+    kept = langid.identified(docs, model, langid.least_scores(docs, model))
+    assert kept.count() == 20
+
+
+@pytest.mark.parametrize("doc_id", [None, 7, 8, 9])
+def test_sample_of_rows_with_one_id(spark, doc_id):
+    rows = [(doc_id, f"the and that of this with a word n{n}" if n % 2 else f"der und die das mit ein wort n{n}", "en" if n % 2 else "de") for n in range(2000)]
+    rows += [(doc_id, "the same words of this row", "en")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = {r["lang"]: r["count"] for r in langid.labelled_sample(docs, 100)[0].groupBy("lang").count().collect()}
+    assert 40 < drawn["de"] < 180 and 40 < drawn["en"] < 180
+    model = langid.fit_languages(docs, per_language=100)
+    found = langid.identify(docs, model).groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"]: r["count"] for r in found} == {"de": 1000, "en": 1500}
+
+
+def test_most_labelled_languages_are_learned(spark):
+    rows = [(n, f"wort{n % 50}a", f"l{n % 5 if n < 90 else 9}") for n in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    _, sizes = langid.labelled_sample(docs, 10, most=5)
+    assert sorted(r["lang"] for r in sizes.collect()) == ["l0", "l1", "l2", "l3", "l4"]
+
+
+def plain_prediction(model_grams, languages, grams):
+    shares = [sum(g in own for g in grams) / max(1, len(grams)) for own in model_grams]
+    return max(shares), [lang for lang, s in zip(languages, shares) if s >= max(shares) - 1e-9]
+
+
+def test_prediction_equals_plain_sets(spark):
+    """The filters' corrected shares against sets of the same n-grams, within what chance adds."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit_languages(docs)
+    is_letter = langid.letters()
+    rows = docs.select("text", "lang").collect()
+    # Which n-grams a filter holds is read off the filter itself: all those of the table.
+    every, _, _ = langid.text_grams([r["text"] or "" for r in rows], is_letter)
+    every = np.unique(every)
+    held = langid.language_shares(
+        langid.LanguageModel(model.languages, model.slices, np.zeros(len(model.languages))), every, np.arange(len(every)), len(every)
+    )
+    sets = [set(every[held[:, k] > 0].tolist()) for k in range(len(model.languages))]
+    texts = [r["text"] or "" for r in rows]
+    names, scores = langid.predict(model, texts, is_letter)
+    for text, name, score in zip(texts, names, scores):
+        grams, _, has_letter = langid.text_grams([text], is_letter)
+        if not has_letter[0]:
+            assert (name, score) == (langid.UNKNOWN, 0)
+            continue
+        best, likely = plain_prediction(sets, model.languages, grams.tolist())
+        assert abs(score - best) <= model.false_share.max() + 1e-9
+        assert name in likely or best - score <= model.false_share.max()
+
+
+def test_shared_grams_are_counted_alike_in_small_parts(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    rows = [(r["item_id"], r["text"].lower().encode()) for r in items.collect()]
+    index = decontam.build_index(rows, 0.1)
+    texts = pa.array([(r["text"] or "").lower() for r in docs.limit(80).collect()] + [" ".join(t.decode() for _, t in rows)])
+    whole = sorted(decontam.find_in_texts(index, texts, Rolling()))
+    assert len({i for r, i, _ in whole if r == 80}) == len({t for _, t in rows})
+    for places in (1, 50, 5000):
+        monkeypatch.setattr(decontam, "PLACES", places)
+        assert sorted(decontam.find_in_texts(index, texts, Rolling())) == whole
+
+
+def test_stored_tables_go_when_they_are_used(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(folder.glob("visitloom-*"))
+    docs = spark.createDataFrame([(n, f"{LINE}{LINE}{n % 3}") for n in range(30)], "doc_id long, text string")
+    assert near_dup.near_duplicates(docs).select("class_id").distinct().count() == 1
+    # What stays is the result only.
+    new = set(folder.glob("visitloom-*")) - before
+    assert len(new) == 1 and [p.name for p in next(iter(new)).iterdir()] == ["1"]
+    with pytest.raises(ZeroDivisionError), Scratch(spark) as kept:
+        kept(docs)
+        raise ZeroDivisionError
+    assert set(folder.glob("visitloom-*")) - before == new
+
+
+def test_group_of_many_classes_around_a_large_one(spark, monkeypatch):
+    """Texts that share a band but are not all alike: blocks smaller than the group."""
+    monkeypatch.setattr(near_dup, "BLOCK", 4)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for n in range(60):
+        words = base.copy()
+        for k in range(n % 6 * 3):
+            words[(7 * k + n) % 60] = f"x{n % 6}{k}"
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(tuple, near_dup.near_duplicates(docs).collect()))
+    assert found == sorted(test_near_dup.brute(rows))

@@ -77,8 +77,47 @@ def test_no_rows_and_other_columns(spark):
     assert [tuple(r) for r in repeats.remove_repeats(rows).collect()] == [(1, 1, 0, 0, b"t")]
 
 
-def test_earlier_factors_by_hand():
+def test_factors_by_hand():
     data = np.frombuffer(b"abcdefghijklmnopqrst_abcdefghijklmnopqrsX", np.uint8)
     starts = np.array([0, 1, 21, 22, 2], np.int64)
     order = np.array([5, 5, 7, 7, 5], np.int64)
-    assert repeats.earlier_factors(data, starts, order, 18).tolist() == [False, False, True, True, False]
+    factors = repeats.longest_previous_factors(data, starts, order, 18)
+    assert factors.tolist() == [0, 0, 18, 18, 0]
+
+
+@pytest.mark.parametrize("length", [9, 16, 17, 33, 50, 64])
+def test_factors_against_naive(length):
+    rng = random.Random(length)
+    for letters, n in (("ab", 160), ("abcdefgh", 300), ("a", 150), ("a\0", 200)):
+        parts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 2 * length))) for _ in range(4)]
+        texts = []
+        while sum(map(len, texts)) < n:
+            texts.append("".join(rng.choice(parts) for _ in range(3)) + "".join(rng.choice(letters) for _ in range(length)))
+        data = "".join(texts).encode()
+        starts, order, base = [], [], 0
+        for text in texts:
+            own = range(base, base + len(text) - length + 1)
+            starts += own
+            order += [rng.randint(0, 4)] * len(own)
+            base += len(text)
+
+        def agree(a, b):
+            return next((k for k in range(length) if data[a + k] != data[b + k]), length)
+
+        naive = [max([agree(a, b) for b, p in zip(starts, order) if p < o] or [0]) for a, o in zip(starts, order)]
+        given = (np.frombuffer(data, np.uint8), np.array(starts), np.array(order), length)
+        assert repeats.longest_previous_factors(*given).tolist() == naive
+        reached = repeats.longest_previous_factors(*given, length)
+        assert reached.tolist() == [f if f == length else 0 for f in naive]
+
+
+def test_no_suffixes():
+    none = np.zeros(0, np.int64)
+    assert repeats.longest_previous_factors(np.zeros(0, np.uint8), none, none, 50).tolist() == []
+
+
+def test_runs_of_one_hash_but_other_bytes(spark, monkeypatch):
+    # Equal runs are told by their bytes, whatever their hashes.
+    monkeypatch.setattr(repeats.Rolling, "spans", lambda self, sums, starts, ends: np.zeros(len(starts), np.uint64))
+    rows = passages(3, 25)
+    assert got(spark, rows) == brute(rows)

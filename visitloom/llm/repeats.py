@@ -1,4 +1,4 @@
-"""Removal of repeated passages by suffix order to the depth of the threshold."""
+"""Removal of repeated passages by arrays of longest previous factors over sorted suffixes."""
 
 from __future__ import annotations
 
@@ -22,6 +22,8 @@ KEPT = 4
 #: Bytes of texts looked at together, and of runs sorted together.
 BATCH = 3 << 20
 SORTED = 1 << 20
+#: Bytes of texts for each bucket of passages, at most.
+BUCKET = 16 << 20
 
 
 def anchors(column: pa.Array, length: int, rolling: Rolling) -> tuple[np.ndarray, ...]:
@@ -171,13 +173,13 @@ def passages(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                 )
                 row, at, size, hashes = row[keep], at[keep], size[keep], hashes[keep]
                 start = offsets[row] + at
-                body = rolling.spans(rolling.prefix(data), start, start + size + length - 1)
-                order = np.lexsort((ids[row], body, hashes))
-                first = heads(hashes[order], body[order])
+                raw, out = data.tobytes(), []
+                body = numbered(raw, start, start + size + length - 1, {})
+                order = np.lexsort((ids[row], body))
+                first = heads(body[order])
                 least = np.repeat(ids[row[order[first]]], np.diff(np.r_[first, len(order)]))
                 known = np.zeros(len(order), bool)
                 known[order] = least < ids[row[order]]
-                raw, out = data.tobytes(), []
                 for is_known in (True, False):
                     some = np.flatnonzero(known == is_known)
                     order, found = by_bucket(hashes[some], buckets)
@@ -199,49 +201,96 @@ def ranks(values: np.ndarray) -> np.ndarray:
     return np.unique(values, return_inverse=True)[1].astype(np.uint64)
 
 
-def earlier_factors(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """For each suffix of ``data`` that begins at ``starts``, whether its longest previous factor,
-    the longest prefix that a suffix of smaller ``order`` also has, reaches ``length`` bytes.
+def sorted_suffixes(data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of ``data`` that begin at ``starts``, sorted by their first ``length`` bytes, those
+    that agree in them by ``order``; and in how many of these bytes each agrees with the one before it.
 
-    The suffixes are sorted to a depth of ``length`` by doubling; those that agree so far lie side
-    by side, by order. There, the previous smaller one exists if the first of them is smaller. The
-    next smaller one, and a previous one further away, agree in fewer bytes.
+    Ranks of 8 bytes are doubled up to the depth. Read from the deepest down, the same ranks tell where
+    neighbours part.
     """
     data = np.r_[data, np.zeros(length + 16, np.uint8)]
     n, depth = len(data) - 8, 8
-    rank = ranks(np.lib.stride_tricks.sliding_window_view(data, 8)[:n].copy().view(">u8").reshape(-1).astype(np.uint64))
+    words = np.lib.stride_tricks.sliding_window_view(data, 8)[:n].copy().view(">u8").reshape(-1).astype(np.uint64)
+    levels = [(depth, ranks(words))]
     while depth * 2 < length:
-        rank = ranks(rank[: n - depth] * np.uint64(n + 1) + rank[depth:n])
+        rank = levels[-1][1]
+        levels.append((depth * 2, ranks(rank[: n - depth] * np.uint64(n + 1) + rank[depth:n])))
         n, depth = n - depth, depth * 2
+    rank = levels[-1][1]
     rank = ranks(rank[starts] * np.uint64(n + 1) + rank[starts + (length - depth)])
     suffixes = np.lexsort((order, rank))
-    sorted_rank, sorted_order = rank[suffixes], order[suffixes]
-    first = np.r_[True, sorted_rank[1:] != sorted_rank[:-1]]
-    smallest = sorted_order[np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
-    found = np.zeros(len(starts), bool)
-    found[suffixes] = smallest < sorted_order
-    return found
+    agreed = np.zeros(len(suffixes), np.int64)
+    parts = np.flatnonzero(rank[suffixes[1:]] != rank[suffixes[:-1]]) + 1
+    agreed[1:] = length
+    a, b = starts[suffixes[parts - 1]], starts[suffixes[parts]]
+    done = np.zeros(len(parts), np.int64)
+    for depth, rank in reversed(levels):
+        done += depth * (rank[a + done] == rank[b + done])
+    differ = words[a + done] ^ words[b + done]
+    for zeros in range(8, 64, 8):
+        done += differ < np.uint64(1 << (64 - zeros))
+    agreed[parts] = done
+    return suffixes, agreed
+
+
+def previous_smaller(order: np.ndarray, agreed: np.ndarray, least: int) -> np.ndarray:
+    """In how many bytes each sorted suffix agrees with the nearest one before it of a smaller
+    ``order``; 0 where these are fewer than ``least`` (at least 1).
+
+    Each suffix looks at the one before it; if that is not smaller, then at what that one looks at, for
+    all between are not smaller either. Suffixes of one text in a row halve their way each time.
+    """
+    agreed, seen = agreed.copy(), np.arange(len(order)) - 1
+    going = np.flatnonzero(agreed >= least)
+    while len(going := going[order[seen[going]] >= order[going]]):
+        via = seen[going]
+        seen[going], agreed[going] = seen[via], np.minimum(agreed[going], agreed[via])
+        going = going[agreed[going] >= least]
+    return np.where(agreed >= least, agreed, 0)
+
+
+def longest_previous_factors(
+    data: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int, least: int = 1
+) -> np.ndarray:
+    """For each suffix of ``data`` that begins at ``starts``, its longest previous factor: the most
+    bytes, up to ``length``, in which it agrees with a suffix of smaller ``order``.
+
+    Of all suffixes of smaller order, the nearest before and the nearest after it in suffix order
+    agree the longest. Factors of fewer than ``least`` bytes count as 0 and are not followed.
+    """
+    suffixes, agreed = sorted_suffixes(data, starts, order, length)
+    own = order[suffixes]
+    before = previous_smaller(own, agreed, least)
+    after = previous_smaller(own[::-1], np.r_[agreed[:1], agreed[:0:-1]], least)[::-1]
+    factors = np.zeros(len(starts), np.int64)
+    factors[suffixes] = np.maximum(before, after)
+    return factors
 
 
-def run_hashes(bodies: np.ndarray, sizes: np.ndarray, length: int, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor and hash of each run, from their texts one after the other."""
-    bounds = np.r_[0, np.cumsum(sizes + length - 1)]
-    sums = rolling.prefix(bodies)
-    grams = sliding_min(rolling.grams(sums, ANCHOR), length - ANCHOR + 1)
-    return grams[bounds[:-1]], rolling.spans(sums, bounds[:-1], bounds[1:])
+def run_anchors(bodies: np.ndarray, sizes: np.ndarray, length: int, rolling: Rolling) -> np.ndarray:
+    """Anchor of each run, from their texts one after the other."""
+    bounds = np.cumsum(sizes + length - 1) - (sizes + length - 1)
+    return sliding_min(rolling.grams(rolling.prefix(bodies), ANCHOR), length - ANCHOR + 1)[bounds]
+
+
+def numbered(raw: bytes, starts: np.ndarray, ends: np.ndarray, known: dict[bytes, int]) -> np.ndarray:
+    """The numbers of raw[start:end], equal for equal bytes; ``known`` keeps them."""
+    spans = zip(starts.tolist(), ends.tolist())
+    return np.fromiter((known.setdefault(raw[a:b], len(known)) for a, b in spans), np.int64, len(starts))
 
 
 def earlier_runs(
-    bodies: np.ndarray, sizes: np.ndarray, ids: np.ndarray, anchor: np.ndarray, hashes: np.ndarray, length: int
+    bodies: np.ndarray, sizes: np.ndarray, ids: np.ndarray, anchor: np.ndarray, same: np.ndarray, length: int
 ) -> tuple[np.ndarray, ...]:
     """Which starts of which runs go: number of the run, first and last start.
 
-    ``bodies``: the texts of all runs, one after the other; ``sizes``: their numbers of starts. Equal
-    texts are looked at once, with their least id; the others with one anchor are sorted together.
+    ``bodies``: the texts of all runs, one after the other; ``sizes``: their numbers of starts;
+    ``same``: equal for equal texts. Equal texts are looked at once, with their least id; the others
+    with one anchor are sorted together.
     """
     bounds = np.r_[0, np.cumsum(sizes + length - 1)]
-    order = np.lexsort((ids, hashes, anchor))
-    first = heads(anchor[order], hashes[order])
+    order = np.lexsort((ids, same, anchor))
+    first = heads(same[order])
     number = np.diff(np.r_[first, len(order)])
     lead = order[first]
     low = np.empty(len(ids), np.int64)
@@ -266,7 +315,7 @@ def earlier_runs(
         take = np.repeat(bounds[some] - begin, spans) + np.arange(spans.sum())
         owner = np.repeat(np.arange(len(some)), sizes[some])
         at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[some]) - sizes[some], sizes[some])
-        found = earlier_factors(bodies[take], begin[owner] + at, ids[some][owner], length)
+        found = longest_previous_factors(bodies[take], begin[owner] + at, ids[some][owner], length, length) == length
         edge = found & ~np.r_[False, found[:-1] & (owner[1:] == owner[:-1])]
         stop = found & ~np.r_[found[1:] & (owner[1:] == owner[:-1]), False]
         for n, x, y in zip((owner[edge] + a).tolist(), at[edge].tolist(), at[stop].tolist()):
@@ -285,8 +334,8 @@ def removed_spans(runs: DataFrame, length: int) -> DataFrame:
 
     def find(group: pa.Table) -> pa.Table:
         told: list[tuple[np.ndarray, ...]] = []
-        ids, units, starts, sizes, bodies, keys = ([] for _ in range(6))
-        rolling, unsqueeze = Rolling(), zstandard.ZstdDecompressor()
+        ids, units, starts, sizes, bodies, anchor, same = ([] for _ in range(7))
+        rolling, unsqueeze, known = Rolling(), zstandard.ZstdDecompressor(), {}
         for row in group.to_pylist():
             i, u, at, n = (spread(row[c]) for c in ("ids", "units", "starts", "sizes"))
             if row["bodies"] is None:
@@ -294,12 +343,15 @@ def removed_spans(runs: DataFrame, length: int) -> DataFrame:
                 continue
             for kept, values in ((ids, i), (units, u), (starts, at), (sizes, n)):
                 kept.append(values)
-            bodies.append(np.frombuffer(unsqueeze.decompress(row["bodies"]), np.uint8))
-            keys.append(run_hashes(bodies[-1], n, length, rolling))
+            raw = unsqueeze.decompress(row["bodies"])
+            bodies.append(np.frombuffer(raw, np.uint8))
+            anchor.append(run_anchors(bodies[-1], n, length, rolling))
+            ends = np.cumsum(n + length - 1)
+            same.append(numbered(raw, ends - (n + length - 1), ends, known))
         if ids:
             i, u, at, n = map(np.concatenate, (ids, units, starts, sizes))
-            anchor, hashes = (np.concatenate(k) for k in zip(*keys))
-            run, a, b = earlier_runs(np.concatenate(bodies), n, i, anchor, hashes, length)
+            known.clear()
+            run, a, b = earlier_runs(np.concatenate(bodies), n, i, np.concatenate(anchor), np.concatenate(same), length)
             told.append((u[run], at[run] + a, at[run] + b + length))
         u, a, b = (np.concatenate(c) for c in zip(*told))
         order = np.lexsort((a, u))
@@ -331,7 +383,8 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     Copies of a whole text go without a look at their bytes. Each passage of ``length`` bytes has an
     anchor, its 16 bytes of least hash; only passages whose anchor another text has are looked at.
     They are dealt out by anchor, as runs of neighbours, each different run once with its least id.
-    Sorted suffixes then show which passages a text of a smaller id has (``earlier_factors``).
+    Longest previous factors then show which passages a text of a smaller id has. They are cut at
+    ``length``: a longer factor covers the same bytes as those of the starts that follow.
 
     A null text is empty; a text of fewer bytes stays whole. A null doc_id is larger than all others;
     documents of one doc_id take nothing from each other; other columns are dropped.
@@ -353,7 +406,6 @@ def without_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
 
 def _left(documents: DataFrame, length: int, whole: bool) -> DataFrame:
     """id (doc_id, or NULL_ID), row (other columns than text) and what is left of every text."""
-    buckets = 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"),
         F.struct(*(c for c in documents.columns if c != "text")).alias("row"),
@@ -373,8 +425,11 @@ def _left(documents: DataFrame, length: int, whole: bool) -> DataFrame:
         F.coalesce("short", F.lit("")).cast("binary").alias("kept"),
     )
     # Each text has a number of its own, also where several have one id or none.
-    standing = named.where((F.col("id") == F.col("low")) & (F.col("n_bytes") >= length)).select("id", "digest").distinct()
+    standing = named.where((F.col("id") == F.col("low")) & (F.col("n_bytes") >= length)).select("id", "digest", "n_bytes").distinct()
     standing = checkpointed(standing.withColumn("unit", F.monotonically_increasing_id()))
+    n_bytes = standing.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // BUCKET)
+    standing = standing.drop("n_bytes")
     # The texts move once, by id and digest; each use reads the same shuffle, as long as it takes the
     # same columns of it. What is found out about a text goes there, so no task holds all texts of one id.
     key = ["id", "digest"]

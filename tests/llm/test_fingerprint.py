@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+from collections import Counter
 from statistics import mean
 
+import pytest
+import xxhash
+
 from visitloom.llm import fingerprint
 
 SCHEMA = "doc_id long, text string"
@@ -23,6 +28,83 @@ def edits(rows):
     return sorted(out, key=str)
 
 
+def hashed(*values):
+    """Spark's xxhash64 of strings and (size in bytes, number)."""
+    seed = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else v[1].to_bytes(v[0], "little", signed=True)
+        seed = xxhash.xxh64(raw, seed=seed).intdigest()
+    return seed
+
+
+def signed(value, bits):
+    value &= (1 << bits) - 1
+    return value - (1 << bits) if value >> (bits - 1) else value
+
+
+def printed(text, kmer=3, bins=64, taken=2):
+    """The Order MinHash of a text, tuple by tuple."""
+    tokens = re.findall(fingerprint.TOKEN, text, re.ASCII)
+    seen, binned = Counter(), {}
+    for place in range(max(1, len(tokens) - kmer + 1) if tokens else 0):
+        own = signed(hashed(*tokens[place : place + kmer]), 33)
+        value = hashed((8, own), (4, seen[own])) % (1 << 33)
+        seen[own] += 1
+        binned.setdefault(value * bins >> 33, []).append((value, place))
+    out = {}
+    for number, all_of_bin in binned.items():
+        digest = 0
+        for value, _ in sorted(sorted(all_of_bin)[:taken], key=lambda x: x[1]):
+            digest = signed(hashed((8, digest), (8, signed(value << 31, 64))), 64)
+        out[number] = f"{number:02x}{digest % (1 << 32):08x}"
+    return [out[n] for n in sorted(out, key=lambda n: signed(n, 6))]
+
+
+def alike(a, b):
+    bins = {x[:2] for x in a + b}
+    return len(set(a) & set(b)) / len(bins) if bins else 1.0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_fingerprints_against_python(spark, seed):
+    rows = texts(60, seed) + [(-5, None), (-4, "x y z " * 40), (-3, "one"), (-2, "a b c d " * 30 + "é漢 " * 9)]
+    ordered = sorted(((d, t or "") for d, t in rows), reverse=True)
+    expected = []
+    for n, (d, t) in enumerate(ordered):
+        following = ordered[(n + 1) % len(ordered)][1]
+        own, k = printed(t), len(t) // 3
+        changed = printed(t[: len(t) - k] + following[:k])
+        expected.append((d, " ".join(own), " ".join(changed), alike(own, changed), alike(own, printed(following))))
+    names = ("doc_id", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    found = sorted((tuple(r[c] for c in names) for r in got(spark, rows)), reverse=True)
+    assert found == expected
+
+
+@pytest.mark.parametrize("splits", [1, 2, 7, 64])
+def test_turns(spark, splits):
+    rows = texts(90, 5) + [(None, "null id")] * 3 + [(12, f"one id {n}") for n in range(40)]
+    dealt = fingerprint.with_next(spark.createDataFrame(rows, SCHEMA), splits).collect()
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.text)
+    turns = {}
+    for r in dealt:
+        turns.setdefault(r.turn, []).append((r.at, *key(r)))
+    assert len(turns) <= max(2, splits) and sum(r.at for r in dealt) == len(rows)
+    ascending = sorted(((d is not None, d or 0, t) for d, t in rows))
+    row = 0
+    for turn in sorted(turns):
+        place = sorted(turns[turn])
+        led = [r[1:] for r in place if r[0] == 0]
+        assert led and led[-1] == ascending[row - 1]
+        own = [r[1:] for r in place if r[0] == 1]
+        assert own == ascending[row : row + len(own)]
+        row += len(own)
+
+
+def test_every_place_fits():
+    # The shortest tokens are one byte and a space.
+    assert (1 << 31) // 2 <= 1 << (fingerprint.PLACE_BITS - 1)
+
+
 def got(spark, rows):
     return fingerprint.fingerprint_edits(spark.createDataFrame(rows, SCHEMA)).collect()
 

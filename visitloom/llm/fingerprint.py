@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +11,12 @@ from pyspark.sql import functions as F
 TOKEN = r"\S{1,8}"
 
 
-#: A k-mer is one number: its hash in the upper bits, its place in the text in these lower ones.
-PLACE_BITS = 24
+#: A k-mer is one number: its hash in the upper 33 bits, its place in the text in these lower ones. A
+#: string has at most 2**31 bytes and so fewer than 2**30 tokens with space between: every place fits,
+#: and its highest bit is free.
+PLACE_BITS = 31
+#: Bytes of texts that are fingerprinted one after the other, in order of doc_id.
+TURN = 256 << 20
 
 
 def order_minhash(rows: DataFrame, text: str, to: str, kmer: int = 3, bins: int = 64, taken: int = 2) -> DataFrame:
@@ -82,27 +88,41 @@ def likeness(a: str, b: str) -> Column:
     return F.when(either == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / either)
 
 
+def listed(numbers: Iterable[float], kind: str) -> Column:
+    """The numbers as a constant array, sent as one text however many they are."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+
+
 def with_next(documents: DataFrame, splits: int | None = None) -> DataFrame:
     """Documents (doc_id, text), dealt out in order of doc_id, with the columns turn and at that
     order them: in each ``turn``, by ``at``, the row before a document is its next one in descending
     order. Rows with ``at`` 0 are copies that only stand before others.
 
     Quantiles of the ids deal the rows out. A quantile is an id, so the last row of a turn is known
-    beforehand and its copy also leads the following turn; the largest id leads the first one.
+    beforehand and its copy also leads the following turn; the largest id leads the first one. Turns
+    are as many as the bytes of the texts ask for, and several for each shuffle partition, so that
+    these fill evenly; ``splits`` sets another number. Rows of one doc_id are in one turn.
     """
     spark = documents.sparkSession
-    splits = splits or min(1024, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [n / splits for n in range(1, splits)] or [1.0]
-    told = documents.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), 10_000), F.max("doc_id")).first()
-    cuts, largest = sorted(set(told[0] or [])), told[1]
-    # At most 1024 ids.
-    cuts = [c for c in cuts if c != largest]
-    ids = F.array(*map(F.lit, cuts)).cast("array<bigint>")
-    own = F.coalesce(F.size(F.filter(ids, lambda c: c < F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
+    if splits is None:
+        n_bytes = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        splits = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_bytes // TURN)
+    splits = max(2, splits)
+    shares = listed((n / splits for n in range(1, splits)), "double")
+    told = documents.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * splits)), F.max("doc_id")).first()
+    largest = told[1]
+    # One id for each turn.
+    cuts = sorted(set(told[0] or []) - {largest})
+    own = F.lit(0)
     lead = F.when(F.col("doc_id").eqNullSafe(F.lit(largest).cast("long")), F.lit(0))
     if cuts:
-        lead = lead.when(F.array_contains(ids, F.col("doc_id")), F.lit(0) + own + 1)
-    places = F.array(F.struct(own.cast("int").alias("turn"), F.lit(1).alias("at")), F.struct(lead.cast("int").alias("turn"), F.lit(0).alias("at")))
+        ids = listed(cuts, "bigint")
+        # How many of them are smaller, by binary search.
+        steps = F.array(*(F.lit(1 << n) for n in reversed(range(len(cuts).bit_length()))))
+        further = lambda n, step: F.when(F.get(ids, n + step - 1) < F.col("doc_id"), n + step).otherwise(n)
+        own = F.aggregate(steps, F.lit(0), further)
+        lead = lead.when(F.get(ids, own) == F.col("doc_id"), own + 1)
+    places = F.array(F.struct(own.alias("turn"), F.lit(1).alias("at")), F.struct(lead.alias("turn"), F.lit(0).alias("at")))
     return documents.withColumn("place", F.explode(places)).select("doc_id", "text", "place.turn", "place.at").where("turn is not null")
 
 

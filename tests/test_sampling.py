@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
+import pytest
+
 from tests.helpers import plan_of, sessions
 from visitloom.operators import sampling as M
 from visitloom.operators import bounded
@@ -50,6 +53,7 @@ def test_large_total_gives_the_same_draw_without_group_limit(spark, monkeypatch)
     normal = sorted(r["session_id"] for r in M.draw_sessions(df, 5, 90).collect())
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
     monkeypatch.setattr(bounded, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(M, "STATE_ROWS", 10)
     try:
         salted_plan = M.draw_sessions(df, 5, 90)
         assert sorted(r["session_id"] for r in salted_plan.collect()) == normal
@@ -58,7 +62,48 @@ def test_large_total_gives_the_same_draw_without_group_limit(spark, monkeypatch)
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
-def test_hour_is_cut_before_the_shuffle(spark):
+def places(df):
+    return sorted((r["session_id"], r["place"], r["visit_length"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("total", [1, 7, 40, 999])
+def test_states_of_hours_draw_what_ranking_draws(spark, total):
+    df = spread(spark, {(1, 0): 60, (1, 5): 20, (2, 3): 40, (9, 23): 1}).repartition(5)
+    # Rows that repeated users made, and sessions without a start.
+    df = df.unionByName(df.where("hour(start_time) = 3")).unionByName(
+        sessions(spark, [("a", None, None, 1)])
+    )
+    drawn = M.draw_sessions(df, "s", total)
+    assert places(drawn) == places(M._draw_by_rank(df, "s", total))
+    assert drawn.columns == [*df.columns, "place"]
+
+
+def test_sessions_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    spread(spark, {(day, hour): 9 for day in range(1, 6) for hour in range(24)}).write.parquet(path)
+    drawn = M.draw_sessions(spark.read.parquet(path), 3, 200)
+    assert drawn.count() == 5 * 24
+    drawn.collect()
+    # The days are counted from the same states.
+    plan = plan_of(drawn)
+    assert plan.index("ReusedExchange [date") < plan.index("== Initial Plan ==")
+    assert "WindowGroupLimit" not in plan
+
+
+def test_states_hold_no_more_than_asked(spark):
+    df = spread(spark, {(1, 0): 60, (2, 3): 4}).repartition(3)
+    states = {r["hour"]: r for r in M.first_sessions_per_hour(df, 1, 5).collect()}
+    assert {h: (r["session_count"], len(r["first"])) for h, r in states.items()} == {0: (60, 5), 3: (4, 4)}
+    for r in states.values():
+        hashes = [x["_draw"] for x in r["first"]]
+        assert hashes == sorted(hashes)
+    everything = [r for r in df.collect() if r["start_time"].hour == 0]
+    least = sorted(hashlib.md5(f"{r['session_id']}#1".encode()).hexdigest() for r in everything)[:5]
+    assert [x["_draw"] for x in states[0]["first"]] == least
+
+
+def test_hour_is_cut_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(M, "STATE_ROWS", 10)
     plan = plan_of(M.draw_sessions(spread(spark, {(1, 0): 5}), 5))
     assert plan.count("WindowGroupLimit") == 2
 

@@ -43,3 +43,16 @@ def sessions(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 def plan_of(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan_of(df: DataFrame) -> str:
+    """What ran, of a frame that ran: the plan without the initial plans, also those of subqueries."""
+    kept, hidden = [], None
+    for line in plan_of(df).split("\n"):
+        at = len(line) - len(line.lstrip(" :+-"))
+        if hidden is not None and at >= hidden:
+            continue
+        hidden = at if "== Initial Plan ==" in line else None
+        if hidden is None:
+            kept.append(line)
+    return "\n".join(kept)

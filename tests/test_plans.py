@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import pytest
 
-from tests.helpers import action, plan_of, raw_actions, users
+from tests.helpers import action, final_plan_of, plan_of, raw_actions, users
 from visitloom.operators import categories, details, sampling, sessions, topn
 from visitloom.params import TaskParams
 from visitloom.plans.catalog import QUERIES
@@ -154,8 +154,7 @@ def test_no_cross_joins(spark, name):
 def reads_of_events(query) -> int:
     """How often a query that ran has read the events; a reused exchange reads nothing."""
     query.collect()
-    final = query._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    return len(re.findall(r"FileScan parquet \[[^\n]*events\.parquet", final))
+    return len(re.findall(r"FileScan parquet \[[^\n]*events\.parquet", final_plan_of(query)))
 
 
 @pytest.mark.parametrize(

@@ -17,6 +17,8 @@ GRAM = 8
 INDEX_BYTES = 8 << 20
 #: Places of shared q-grams looked at together.
 PLACES = 1 << 21
+#: Cells of alignments made together, item by item of the texts beside each other.
+CELLS = 1 << 17
 
 
 @dataclass
@@ -72,26 +74,72 @@ def build_index(items: list[tuple[int | None, bytes]], rate: float) -> Index:
     )
 
 
-def aligned(item: bytes, text: bytes, low: int, width: int, budget: int) -> int:
-    """Edits from the item to the nearest substring of ``text``, over alignments whose diagonals
-    (place in text minus place in item) are ``low`` to ``low + width``; ``budget + 1`` if more."""
-    size = width + 1
-    place = np.arange(size) + low
-    padded = np.full(size + len(item) + 1, 256, np.int64)
-    a, b = max(0, low), min(len(text), low + len(padded))
-    if b > a:
-        padded[a - low : b - low] = np.frombuffer(text[a:b], np.uint8)
-    step = np.arange(size)
+@dataclass
+class Alignment:
+    """An item to align with ``text[begin:end]``, over alignments whose diagonals (place in that text
+    minus place in item) are ``low`` to ``low + width``."""
+
+    item: bytes
+    begin: int
+    end: int
+    low: int
+    width: int
+    budget: int
+
+    @property
+    def cells(self) -> int:
+        return self.width + len(self.item) + 2
+
+
+def aligned(text: np.ndarray, wanted: list[Alignment]) -> np.ndarray:
+    """Edits from each item to the nearest substring of its text; its budget + 1 if more.
+
+    Items of about one length are aligned together, byte by byte, each in a column of its own.
+    """
+    edits = np.zeros(len(wanted), np.int64)
+    order = sorted(range(len(wanted)), key=lambda n: wanted[n].cells)
+    while order:
+        # The last needs most cells.
+        together = max(1, CELLS // wanted[order[-1]].cells)
+        order, some = order[:-together], order[-together:]
+        edits[some] = aligned_together(text, [wanted[n] for n in some])
+    return edits
+
+
+def aligned_together(text: np.ndarray, wanted: list[Alignment]) -> np.ndarray:
+    size = max(w.width for w in wanted) + 1
+    length = np.array([len(w.item) for w in wanted])
+    items = np.zeros((length.max(), len(wanted)), np.int16)
+    padded = np.full((size + length.max(), len(wanted)), 256, np.int16)
+    step = np.arange(size, dtype=np.int32)[:, None]
+    low, ends = np.array([w.low for w in wanted]), np.array([w.end - w.begin for w in wanted])
+    width, most = np.array([w.width for w in wanted]), np.array([w.budget for w in wanted], np.int32) + 1
+    for n, w in enumerate(wanted):
+        items[: len(w.item), n] = np.frombuffer(w.item, np.uint8)
+        a, b = max(0, w.low), min(w.end - w.begin, w.low + len(padded))
+        if b > a:
+            padded[a - w.low : b - w.low, n] = text[w.begin + a : w.begin + b]
+    # A narrower band ends before the last row: nothing comes from beyond its end.
+    least = np.where(step <= width, 0, most)
     # Before the text begins and after it ends nothing can be matched or inserted.
-    cost = np.where((place >= 0) & (place <= len(text)), 0, budget + 1)
-    for i, c in enumerate(item):
-        changed = cost + (padded[i : i + size] != c)
-        dropped = np.r_[cost[1:] + 1, budget + 1]
-        cost = np.minimum(changed, dropped)
-        cost = np.minimum(np.minimum.accumulate(cost - step) + step, budget + 1)
-        if cost.min() > budget:
-            return budget + 1
-    return int(cost.min())
+    cost = np.where((step + low >= 0) & (step + low <= ends), least, most)
+    column, edits = np.arange(len(wanted)), most.astype(np.int64)
+    for i in range(len(items)):
+        changed = cost + (padded[i : i + size] != items[i])
+        changed[:-1] = np.minimum(changed[:-1], cost[1:] + 1)
+        cost = np.minimum.accumulate(changed - step, axis=0) + step
+        cost = np.maximum(np.minimum(cost, most), least)
+        nearest = cost.min(axis=0)
+        done = length == i + 1
+        edits[column[done]] = nearest[done]
+        left = ~done & (nearest < most)
+        if not left.any():
+            break
+        # Columns that are done change nothing; they go when they are many.
+        if 4 * np.count_nonzero(left) < 3 * len(left):
+            cost, padded, items, least = (np.ascontiguousarray(x[:, left]) for x in (cost, padded, items, least))
+            length, most, column = length[left], most[left], column[left]
+    return edits
 
 
 def banded(index: Index, row: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -105,7 +153,26 @@ def banded(index: Index, row: np.ndarray, place: np.ndarray, key: np.ndarray) ->
     item = index.item[entry]
     band = (np.repeat(place, times) - index.at[entry]) // (index.budget[item] + 1)
     pair = np.repeat(row, times) * np.int64(len(index.ids)) + item
-    return added(np.r_[pair, pair], np.r_[band, band - 1], np.ones(2 * len(pair), np.int64))
+    pair, band, count = counted(pair, band)
+    # Each lies in the band before, too. That band is there already, or takes its place in between.
+    after = np.r_[(pair[1:] == pair[:-1]) & (band[1:] == band[:-1] + 1), False]
+    new = ~np.r_[False, after[:-1]] if len(pair) else after
+    both = count + np.where(after, np.r_[count[1:], 0], 0)
+    return np.r_[pair, pair[new]], np.r_[band, band[new] - 1], np.r_[both, count[new]]
+
+
+def counted(pair: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, ...]:
+    """How often each pair and band is there, in order."""
+    if not len(pair):
+        return pair, band, pair
+    least = int(band.min())
+    span = int(band.max()) - least + 1
+    if (int(pair.max()) + 1) * span >= 1 << 63:
+        return added(pair, band, np.ones(len(pair), np.int64))
+    # One number each sorts much faster than two.
+    both = np.sort(pair * np.int64(span) + (band - least))
+    new = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+    return both[new] // span, both[new] % span + least, np.diff(np.r_[new, len(both)])
 
 
 def added(pair: np.ndarray, band: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -161,20 +228,23 @@ def find_in_texts(index: Index, column: pa.Array, rolling: Rolling) -> list[tupl
         hit, row, key = hit[true], row[true], key[true]
         pair, band = likely_bands(index, row, hit - offsets[row], key)
         best: dict[int, int] = {}
+        wanted: list[tuple[int, Alignment]] = []
         for p, b in zip(pair.tolist(), band.tolist()):
             r, i = divmod(p, len(index.ids))
             budget = int(index.budget[i])
             if best.get(p, budget + 1) == 0:
                 continue
-            start, size = int(offsets[r]), int(offsets[r + 1] - offsets[r])
+            start, end = int(offsets[r]), int(offsets[r + 1])
             low, wide = b * (budget + 1) - budget, 2 * (budget + 1) + 2 * budget
             a = start + max(0, low)
             # An exact copy needs no alignment.
-            if raw.find(index.texts[i], a, min(start + size, start + max(0, low + wide) + len(index.texts[i]))) >= 0:
+            if raw.find(index.texts[i], a, min(end, start + max(0, low + wide) + len(index.texts[i]))) >= 0:
                 best[p] = 0
                 continue
-            edits = aligned(index.texts[i], raw[start : start + size], low, wide, budget)
-            if edits <= budget:
+            wanted.append((p, Alignment(index.texts[i], start, end, low, wide, budget)))
+        wanted = [(p, w) for p, w in wanted if best.get(p, w.budget + 1) > 0]
+        for (p, w), edits in zip(wanted, aligned(data, [w for _, w in wanted]).tolist()):
+            if edits <= w.budget:
                 best[p] = min(edits, best.get(p, edits))
         found = [(*divmod(p, len(index.ids)), e) for p, e in best.items()]
     for i, text in enumerate(index.texts):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline as pipeline
 import numpy as np
 import pytest
 
@@ -87,3 +88,52 @@ def test_documents_pass_without_a_learned_language(spark):
     model = langid.fit_languages(docs)
     kept = langid.identified(docs, model, langid.least_scores(docs, model))
     assert [r[0] for r in kept.collect()] == [1]
+
+
+def rows_that_differ(n, seed):
+    """Rows of two languages whose texts hold between none and all words of their own."""
+    rng = np.random.default_rng(seed)
+    say = lambda letters, n: np.array(["".join(w) for w in rng.choice(list(letters), (n, 6))])
+    own, rare = {"aa": say("abcdefghij", 300), "bb": say("klmnopqrst", 300)}, say("uvwxyz\u0436\u0448\u044b", 5000)
+    rows = []
+    for i in range(n):
+        lang = ("aa", "bb")[i % 2]
+        mine = rng.random(20) < rng.random()
+        words = np.where(mine, own[lang][rng.integers(0, 300, 20)], rare[rng.integers(0, 5000, 20)])
+        rows.append((i if i % 3 else None, " ".join(words.tolist()), lang))
+    return rows
+
+
+def test_least_scores_come_from_all_labelled_rows(spark):
+    rows = rows_that_differ(3000, 1)
+    # Of a language with far more rows than a sample holds; repeated rows count once.
+    rows += [(i, t, "aa") for i, (_, t, lang) in enumerate(rows_that_differ(6000, 2)) if lang == "aa"] + rows[:50]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = langid.fit_languages(docs, grams=200, coverage=0.1)
+    least = langid.least_scores(docs, model, most=1.0, low=0.3)
+    is_letter, once = langid.letters(), sorted(set(rows), key=str)
+    for number, lang in enumerate(model.languages):
+        texts = [t for _, t, told in once if told == lang]
+        grams, owner, _ = langid.text_grams(texts, is_letter)
+        own = np.sort(langid.language_shares(model, grams, owner, len(texts))[:, number])
+        assert least[lang] == own[int(np.ceil(0.3 * len(texts))) - 1] / 2
+
+
+def test_fit_of_all_rows_equals_a_sample_that_holds_all(spark):
+    rows = rows_that_differ(600, 3)
+    # Many rows of one id and text, and a language without a letter.
+    rows += rows[:100] * 3 + [(7, "words of one row", "aa")] * 400 + [(8, None, "cc"), (9, "12", "cc"), (10, "none", None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    every, drawn = (langid.fit_languages(docs, per_language=n) for n in (None, 2000))
+    assert every.languages == drawn.languages == ["aa", "bb", "cc"]
+    assert np.array_equal(every.slices, drawn.slices) and np.array_equal(every.false_share, drawn.false_share)
+
+
+def test_pipeline_draws_no_sample(spark, monkeypatch):
+    def none(*_):
+        raise AssertionError("a sample was drawn")
+
+    monkeypatch.setattr(langid, "labelled_sample", none)
+    rows = [(n, "the and that of this with a word " * 3, "en") for n in range(60)] + [(60, "12", "en")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert dict(pipeline.STAGES)["language ID"](spark, docs, "").count() == 60

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitloom.llm.common import by_value, mixed, small_batches, with_row
+from visitloom.llm.common import Scratch, by_value, mixed, small_batches, with_row
 
 UNKNOWN = "und"
 WIDTHS = (3, 4)
@@ -82,6 +82,18 @@ def slots(grams: np.ndarray, size: int) -> list[np.ndarray]:
     return [((grams + np.uint64(i) * step) & np.uint64(size - 1)).astype(np.int64) for i in range(HASHES)]
 
 
+def labelled_rows(labelled: DataFrame) -> DataFrame:
+    """lang, text and key of the rows with a lang: rows that agree in doc_id and text have one key."""
+    text = F.coalesce("text", F.lit(""))
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
+    return labelled.where(F.col("lang").isNotNull()).select("lang", text.alias("text"), key.alias("key"))
+
+
+def most_labelled(rows: DataFrame, most: int = MOST_LANGUAGES) -> DataFrame:
+    """The ``most`` languages with most rows: lang, documents."""
+    return rows.groupBy("lang").agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "lang").limit(most)
+
+
 def labelled_sample(labelled: DataFrame, per_language: int, most: int = MOST_LANGUAGES) -> tuple[DataFrame, DataFrame]:
     """lang and text of about ``per_language`` rows of each of the ``most`` languages with most rows;
     and these languages.
@@ -89,52 +101,80 @@ def labelled_sample(labelled: DataFrame, per_language: int, most: int = MOST_LAN
     Rows are drawn by a hash of doc_id and text; rows that agree in both count once, so the sample is
     bounded whatever repeats.
     """
-    text = F.coalesce("text", F.lit(""))
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
-    rows = labelled.where(F.col("lang").isNotNull()).select("lang", text.alias("text"), key.alias("key"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "lang").limit(most)
+    rows = labelled_rows(labelled)
+    sizes = most_labelled(rows, most)
     drawn = F.pmod("key", F.lit(1_000_000)) * F.col("documents") < F.lit(per_language) * 1_000_000
     # At most ``most`` rows; so the texts stay where they are read until they are drawn.
     sample = rows.join(F.broadcast(sizes), "lang").where(drawn).dropDuplicates(["lang", "key"])
     return sample.select("lang", "text"), sizes
 
 
+def labelled_once(labelled: DataFrame, stored: Scratch, most: int = MOST_LANGUAGES) -> tuple[DataFrame, DataFrame]:
+    """lang and text of all rows of each of the ``most`` languages with most rows, those that agree in
+    doc_id and text once; and these languages.
+
+    The keys that repeat are stored, so Spark knows how many they are. Where they fit a broadcast,
+    only the texts of rows that repeat are shuffled.
+    """
+    rows = labelled_rows(labelled)
+    sizes = most_labelled(rows, most)
+    # At most ``most`` rows.
+    rows = rows.join(F.broadcast(sizes), "lang").select("lang", "text", "key")
+    repeated = stored(rows.groupBy("lang", "key").agg(F.count("*").alias("n")).where("n > 1").select("lang", "key"))
+    alone = rows.join(repeated, ["lang", "key"], "left_anti")
+    once = rows.join(repeated, ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"])
+    return alone.unionByName(once).select("lang", "text"), sizes
+
+
 def fit_languages(
-    labelled: DataFrame, per_language: int = 2000, grams: int = 6000, least: float = 2e-5, own: float = 0.2,
+    labelled: DataFrame, per_language: int | None = 2000, grams: int = 6000, least: float = 2e-5, own: float = 0.2,
     coverage: float = 0.8,
 ) -> LanguageModel:
     """A model from rows with doc_id, text and a non-null lang.
 
     The fit reads about ``per_language`` documents of each language (at most 4096 languages), drawn by
-    a hash of id and text (all if there are fewer), repeated rows once. A language's filter holds its ``grams`` most frequent n-grams among those
-    with a share of ``least`` of its n-grams, and of ``own`` times their share in any other language;
-    where these are less than ``coverage`` of its n-grams, as many more as reach that, or all.
+    a hash of id and text (all if there are fewer, or if it is None), repeated rows once. A language's
+    filter holds its ``grams`` most frequent n-grams among those with a share of ``least`` of its
+    n-grams, and of ``own`` times their share in any other language; where these are less than
+    ``coverage`` of its n-grams, as many more as reach that, or all.
     The model's size is bounded by these parameters and the number of languages. Without rows it
     knows no language; a language without any letters has no n-grams. Null texts and ids are no
     different from empty ones.
     """
-    sample, sizes = labelled_sample(labelled, per_language)
+    if per_language is not None:
+        return learned(*labelled_sample(labelled, per_language), grams, least, own, coverage)
+    with Scratch(labelled.sparkSession) as stored:
+        return learned(*labelled_once(labelled, stored), grams, least, own, coverage)
+
+
+def learned(
+    texts: DataFrame, sizes: DataFrame, grams: int, least: float, own: float, coverage: float
+) -> LanguageModel:
+    """The model of ``fit_languages`` from lang and text of the rows to read, and the languages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
         for batch in batches:
-            for part in small_batches(batch):
-                langs = np.array(part.column(0).to_pylist())
+            for part in small_batches(batch, 1 << 20):
+                told = part.column(0).to_pylist()
+                langs = {lang: i for i, lang in enumerate(sorted(set(told)))}
+                number = np.array([langs[lang] for lang in told])
                 found, owner, _ = text_grams(part.column(1).to_pylist(), is_letter)
-                for lang in sorted(set(langs)):
-                    values, n = np.unique(found[langs[owner] == lang], return_counts=True)
+                for lang, i in langs.items():
+                    values, n = np.unique(found[number[owner] == i], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([str(lang)] * len(values), pa.string()), pa.array(values.view(np.int64), pa.int64()),
+                            pa.array([lang] * len(values), pa.string()), pa.array(values.view(np.int64), pa.int64()),
                             pa.array(n, pa.int64()),
                         ],
                         ["lang", "gram", "n"],
                     )
 
-    counts = sample.mapInArrow(count, "lang string, gram long, n long")
+    counts = texts.mapInArrow(count, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    shares = counts.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
+    # One row a language.
+    shares = counts.join(F.broadcast(totals), "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
     most = shares.where(F.col("share") >= least).withColumn("most", F.max("share").over(Window.partitionBy("gram")))
     by_share = Window.partitionBy("lang").orderBy(F.desc("share"), "gram").rowsBetween(Window.unboundedPreceding, 0)
     ranked = most.where(F.col("share") >= own * F.col("most")).withColumns(
@@ -207,29 +247,45 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
-def least_scores(
-    labelled: DataFrame, model: LanguageModel, most: float = 0.3, low: float = 0.05, per_language: int = 2000
-) -> dict[str, float]:
+def own_shares(model: LanguageModel, grams: np.ndarray, owner: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Of each text the value of ``language_shares`` for one language, whose number is given."""
+    word, bit = (number // 64)[owner], (number % 64).astype(np.uint64)[owner]
+    hit = np.ones(len(grams), np.uint64)
+    for place in slots(grams, model.slices.shape[1]):
+        hit &= model.slices[word, place] >> bit
+    n = len(number)
+    shares = np.bincount(owner, weights=hit, minlength=n) / np.maximum(np.bincount(owner, minlength=n), 1)
+    chance = model.false_share[number]
+    return np.clip((shares - chance) / (1 - chance), 0, 1)
+
+
+def least_scores(labelled: DataFrame, model: LanguageModel, most: float = 0.3, low: float = 0.05) -> dict[str, float]:
     """The score from which on a text is taken to be in a language, for each of the model.
 
-    Half of what the labelled documents of the language (the sample of the fit) reach but for the
-    share ``low`` of them, at most ``most``: languages differ in how many of their n-grams a filter holds.
+    Half of what all labelled documents of the language (repeated rows once) reach but for the share
+    ``low`` of them, at most ``most``: languages differ in how many of their n-grams a filter holds.
     """
     sent = by_value(labelled.sparkSession, model)
-    number = {lang: n for n, lang in enumerate(model.languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter, model = letters(), sent()
+        numbers = {lang: n for n, lang in enumerate(model.languages)}
         for batch in batches:
             for part in small_batches(batch, 1 << 20):
                 found, owner, has_letter = text_grams(part.column(1).to_pylist(), is_letter)
-                shares = language_shares(model, found, owner, part.num_rows)
-                own = shares[np.arange(part.num_rows), [number[lang] for lang in part.column(0).to_pylist()]]
-                told = pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.float64())], ["lang", "own"])
-                yield told.filter(pa.array(has_letter))
+                number = np.array([numbers.get(lang, -1) for lang in part.column(0).to_pylist()], np.int64)
+                told = np.zeros(part.num_rows)
+                if model.languages:
+                    # Rows of a language beyond the model's take the first one's number, and go.
+                    told = own_shares(model, found, owner, np.maximum(number, 0))
+                judged = pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), pa.array(told, pa.float64())], ["lang", "key", "own"]
+                )
+                yield judged.filter(pa.array(has_letter & (number >= 0)))
 
-    sample, _ = labelled_sample(labelled, per_language)
-    reached = sample.mapInArrow(run, "lang string, own double").groupBy("lang").agg(F.percentile_approx("own", low).alias("low"))
+    # Equal texts have equal shares, so repeated rows can go after the texts.
+    judged = labelled_rows(labelled).mapInArrow(run, "lang string, key long, own double").dropDuplicates(["lang", "key"])
+    reached = judged.groupBy("lang").agg(F.percentile_approx("own", low).alias("low"))
     return {lang: most for lang in model.languages} | {r["lang"]: min(most, r["low"] / 2) for r in reached.collect()}
 
 
